@@ -81,17 +81,25 @@ class RangeHash:
         return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word (bytes other than white space, A-Z lower-cased) and the row it is of."""
+#: Everything of ASCII but letters and digits parts words; bytes of other characters are letters.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, off: np.ndarray, breaks: np.ndarray = SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word (bytes that aren't ``breaks``), the row it is of and where in ``data`` it starts."""
     n = len(off) - 1
     buf = np.full(len(data) + n + 1, 32, np.uint8)  # a blank before each row parts it from the last
     row = np.repeat(np.arange(n), np.diff(off))
-    buf[np.arange(len(data)) + row + 1] = LOWER[data]
-    solid = ~SPACE[buf]
+    buf[np.arange(len(data)) + row + 1] = LOWER[data] if lower else data
+    solid = ~breaks[buf]
     edge = np.flatnonzero(solid[1:] != solid[:-1]) + 1
     start, end = edge[0::2], edge[1::2]
-    starts = off[:-1] + np.arange(n) + 1
-    return RangeHash(buf)(start, end), np.searchsorted(starts, start, "right") - 1
+    of = np.searchsorted(off[:-1] + np.arange(n) + 1, start, "right") - 1
+    return RangeHash(buf)(start, end), of, start - of - 1
+
+
+def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return word_spans(data, off)[:2]
 
 
 def shingle_hashes(words: np.ndarray, row: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import knn, secret_scan, toxicity, url_filters
+from corpusloom.llm import decontaminate, knn, secret_scan, toxicity, url_filters
 
 QUERIES = {
     "op3_topk_search": knn.op3_topk_search,
     "op4_url_filters": url_filters.op4_url_filters,
     "op5_secret_scan": secret_scan.op5_secret_scan,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_decontamination": decontaminate.op7_decontamination,
 }
 ORACLE_SQL = {
     "op3_topk_search": knn.OP3_SQL,
