@@ -9,6 +9,8 @@ the driver, only a count and a checksum per round.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.session import stage_table
@@ -42,3 +44,24 @@ def connected_components(edges: DataFrame, label: str = "cc", max_rounds: int =
             return edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
         mark = tuple(now)
     raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
+
+
+def bucket_links(bands: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """Every link ``a, b`` that the buckets of ``bands(id, key)`` hold, up to links within a component already joined.
+
+    Each id is paired with the least of its bucket and ``verify`` keeps the true
+    pairs. Where the links so found leave a bucket with several components,
+    pairs across them follow. A bucket that is one component makes no pairs.
+    """
+    hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
+    shared = stage_table(bands.join(hubs, "key"), f"{label}-buckets")
+    pairs = stage_table(shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), f"{label}-stars")
+    links = stage_table(verify(pairs), f"{label}-links")
+    found = connected_components(links, f"{label}-cc")
+    tagged = shared.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    tagged = stage_table(tagged, f"{label}-tagged")
+    split = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    rows = tagged.join(split, "key", "left_semi")
+    left, right = rows.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
+    more = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    return links.unionByName(stage_table(verify(more), f"{label}-links"))

@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.arrays import blocks, mix, shingle_hashes, text_bytes, word_hashes
-from corpusloom.llm.components import connected_components
+from corpusloom.llm.bitmap import maybe_in
+from corpusloom.llm.components import bucket_links, connected_components
 from corpusloom.session import stage_table
 
 BANDS, ROWS = 24, 5
@@ -169,7 +170,8 @@ def verify_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int,
     likely = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "reg_a", "reg_b", "n_a", "n_b")
     likely = stage_table(likely.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").mapInArrow(_likely(percent / 100 - SLACK), "a long, b long"), "likely-pairs")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id").dropDuplicates(["id"])
+    wanted = stage_table(wanted, "candidates")
+    texts = maybe_in(wanted, ["id"])(docs.select(F.col("doc_id").cast("long").alias("id"), "text")).join(wanted, "id").dropDuplicates(["id"])
     sets = stage_table(full_sets(texts, size), "candidate-sets")
     full = likely.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
     return full.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long")
@@ -183,18 +185,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     nodes = rows.filter("n > 0").withColumnRenamed("doc_id", "id").join(classes, ["id", "fp"])
     nodes = stage_table(nodes.select("id", "n", "reg", "bands").dropDuplicates(["id"]), "classes")
     bands = nodes.select("id", F.explode("bands").alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
-    pairs = stage_table(bands.join(hubs, "key").filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs")
     texts = docs.select("doc_id", "text")
-    links = stage_table(verify_pairs(pairs, nodes, texts, size, percent), "links")
-    found = stage_table(connected_components(links), "components-1")
-    # buckets that still hold several components: pairs across them
-    tagged = bands.join(hubs.select("key"), "key", "left_semi").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    split = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    open_rows = stage_table(tagged.join(split, "key", "left_semi"), "open-buckets")
-    left, right = open_rows.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), open_rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    more = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.unionByName(stage_table(verify_pairs(more, nodes, texts, size, percent), "links-2"))
+    links = bucket_links(bands, lambda pairs: verify_pairs(pairs, nodes, texts, size, percent), "near")
     same = member.filter("id is not null").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     found = connected_components(links.unionByName(same), "components")
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, knn, near_dup, secret_scan, toxicity, url_filters
+from corpusloom.llm import decontaminate, knn, line_dedup, near_dup, secret_scan, toxicity, url_filters
 
 QUERIES = {
     "op3_topk_search": knn.op3_topk_search,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_secret_scan": secret_scan.op5_secret_scan,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_near_dup": near_dup.op10_near_dup,
 }
 ORACLE_SQL = {
