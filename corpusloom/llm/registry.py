@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, knn, line_dedup, near_dup, secret_scan, toxicity, url_filters
+from corpusloom.llm import decontaminate, knn, line_dedup, near_dup, secret_scan, substring_dedup, toxicity, url_filters
 
 QUERIES = {
     "op3_topk_search": knn.op3_topk_search,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_suffix_dedup": substring_dedup.op9_suffix_dedup,
     "op10_near_dup": near_dup.op10_near_dup,
 }
 ORACLE_SQL = {
