@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, knn, line_dedup, near_dup, secret_scan, sentencepiece_codec, substring_dedup, toxicity, url_filters
+from corpusloom.llm import decontaminate, knn, line_dedup, near_dup, quality, secret_scan, sentencepiece_codec, substring_dedup, toxicity, url_filters
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_sentencepiece": sentencepiece_codec.op2_sentencepiece,
     "op3_topk_search": knn.op3_topk_search,
     "op4_url_filters": url_filters.op4_url_filters,
