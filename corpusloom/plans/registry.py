@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from corpusloom.plans import corpus, evaluation, relational, search
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+_PARTS = (corpus, relational, search, evaluation)
+QUERIES = {name: q for part in _PARTS for name, q in part.Q.queries.items()}
+ORACLE_SQL = {name: sql for part in _PARTS for name, sql in part.Q.sql.items()}
