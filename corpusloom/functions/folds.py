@@ -89,7 +89,7 @@ def opinion_sections(text: str) -> list[tuple[str, str]]:
         return [("", text)]
     stops = [h[0] for h in heads[1:]] + [len(text)]
     out = [("PREAMBLE", text[: heads[0][0]].strip())]
-    out += [(h, text[end:stop].strip()) for (_, end, h), stop in zip(heads, stops, strict=True)]
+    out += [(h, text[end:stop].strip()) for (_, end, h), stop in zip(heads, stops, strict=False)]
     return [x for x in out if x[1]] or [("", text)]
 
 
@@ -194,7 +194,7 @@ def statute_sections(text: str) -> list[tuple[str, str, str]]:
     starts = [m for m in re.finditer(r"\((\d+ ILCS \d+/[\w\-.]+)[^)]*\)", text) if re.search(r"\bSec\. ", text[m.end() : m.end() + 300])]
     stops = [m.start() for m in starts[1:]] + [len(text)]
     out = []
-    for m, stop in zip(starts, stops, strict=True):
+    for m, stop in zip(starts, stops, strict=False):
         block = text[m.end() : stop].strip()
         head = re.search(r"(?s)Sec\. [\w\-.]+?\.\s+(.*?)\.", block)
         out.append((m.group(1), " ".join(head.group(1).split()) if head else "", block))
@@ -205,7 +205,7 @@ def code_sections(text: str) -> list[tuple[str, str, str]]:
     """(number, heading, body) for each ``Section n.nn`` line."""
     starts = list(re.finditer(r"(?m)^Section\s+(\d+\.\d+[\w.]*)\s*(.*)$", text))
     stops = [m.start() for m in starts[1:]] + [len(text)]
-    return [(m.group(1), m.group(2).strip(), text[m.end() : stop].strip()) for m, stop in zip(starts, stops, strict=True)]
+    return [(m.group(1), m.group(2).strip(), text[m.end() : stop].strip()) for m, stop in zip(starts, stops, strict=False)]
 
 
 _ARTICLE = re.compile(r"^(?:ARTICLE|Article)\s+([IVX]+)\.\s+(.+)$")
@@ -247,7 +247,7 @@ def rule_split(body: str, least_parts: int = 3, least_chars: int = 1000) -> list
         return [("", body)]
     intro = body[: marks[0].start()].strip()
     stops = [m.start() for m in marks[1:]] + [len(body)]
-    return [(m[1], f"{intro}\n{body[m.start():stop].strip()}".strip()) for m, stop in zip(marks, stops, strict=True)]
+    return [(m[1], f"{intro}\n{body[m.start():stop].strip()}".strip()) for m, stop in zip(marks, stops, strict=False)]
 
 
 def over_column(fold: Callable[[str], list[str]]):

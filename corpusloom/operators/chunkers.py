@@ -53,7 +53,7 @@ def regex_sections(pattern: str) -> Callable[[str], list[tuple[str, str]]]:
         marks = list(re.finditer(pattern, text, re.M))
         stops = [m.start() for m in marks[1:]] + [len(text)]
         out = [("", text[: marks[0].start()].strip() if marks else text)]
-        out += [(m.group().strip(), text[m.end() : stop].strip()) for m, stop in zip(marks, stops, strict=True)]
+        out += [(m.group().strip(), text[m.end() : stop].strip()) for m, stop in zip(marks, stops, strict=False)]
         return [x for x in out if any(x)] or [("", text)]
 
     return run
