@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +47,15 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/stage/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what runs inside: wide rows then stay within a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
