@@ -9,8 +9,6 @@ the driver, only a count and a checksum per round.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.session import stage_table
@@ -46,22 +44,33 @@ def connected_components(edges: DataFrame, label: str = "cc", max_rounds: int =
     raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
 
 
-def bucket_links(bands: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
-    """Every link ``a, b`` that the buckets of ``bands(id, key)`` hold, up to links within a component already joined.
+def shared_buckets(bands: DataFrame, label: str) -> DataFrame:
+    """``key, id, hub`` of the buckets of ``bands(id, key)`` with several ids; the hub is the least."""
+    hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
+    return stage_table(bands.join(hubs, "key").select("key", "id", "hub"), f"{label}-buckets")
+
+
+def star_pairs(shared: DataFrame, label: str) -> DataFrame:
+    return stage_table(shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), f"{label}-stars")
 
-    Each id is paired with the least of its bucket and ``verify`` keeps the true
-    pairs. Where the links so found leave a bucket with several components,
-    pairs across them follow. A bucket that is one component makes no pairs.
+
+def open_blocks(shared: DataFrame, links: DataFrame, label: str, block: int = 256) -> tuple[DataFrame, DataFrame]:
+    """What the star links leave open, dealt into blocks: ``(seekers, members)``, each ``key, i, j, id, c``.
+
+    A bucket of three or more ids that holds several components may still hold
+    links. Its ids outside its most common component seek among all its ids.
+    Seekers of block i and members of block j meet under (key, i, j); a bucket
+    of at most ``block`` ids is one block. Buckets with the same ids count once.
     """
-    hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
-    shared = stage_table(bands.join(hubs, "key"), f"{label}-buckets")
-    pairs = stage_table(shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), f"{label}-stars")
-    links = stage_table(verify(pairs), f"{label}-links")
     found = connected_components(links, f"{label}-cc")
     tagged = shared.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     tagged = stage_table(tagged, f"{label}-tagged")
-    split = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    rows = tagged.join(split, "key", "left_semi")
-    left, right = rows.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    more = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    return links.unionByName(stage_table(verify(more), f"{label}-links"))
+    by_part = tagged.groupBy("key", "c").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"))
+    by_key = by_part.groupBy("key").agg(F.sum("m").alias("m"), F.bit_xor("x").alias("x"), F.count("*").alias("parts"), F.max(F.struct("m", "c")).alias("main"))
+    by_key = by_key.filter("m > 2 and parts > 1")
+    one = by_key.groupBy("m", "x").agg(F.min(F.struct("key", "main.c")).alias("one")).select("one.key", F.col("one.c").alias("main"), F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    rows = stage_table(tagged.join(one, "key").withColumn("own", F.pmod(F.hash("id"), F.col("blocks"))), f"{label}-open")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    seekers = rows.filter("c <> main").select("key", F.col("own").alias("i"), each.alias("j"), "id", "c")
+    members = rows.select("key", each.alias("i"), F.col("own").alias("j"), "id", "c")
+    return seekers, members

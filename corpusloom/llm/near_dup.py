@@ -11,8 +11,9 @@ least class of each bucket it falls into. Of these pairs the joint likelihood of
 the registers, the set sizes being known, estimates the similarity; pairs far
 below the threshold go, the others are confirmed on the full sets. Confirmed
 links are joined to components. Where a bucket still holds several components,
-pairs across them are checked the same way, so that no link a bucket holds is
-lost, and a bucket that is one component makes no pairs.
+the ids outside its largest one are compared by their full sets with the rest
+of the bucket, in blocks, so that no link a bucket holds is lost. Pairs of a
+block are never rows; a bucket that is one component makes none.
 
 Only hashes, keys and the sets of candidate classes are shuffled.
 
@@ -32,13 +33,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.arrays import blocks, mix, shingle_hashes, text_bytes, word_hashes
 from corpusloom.llm.bitmap import maybe_in
-from corpusloom.llm.components import bucket_links, connected_components
-from corpusloom.session import stage_table
+from corpusloom.llm.components import connected_components, open_blocks, shared_buckets, star_pairs
+from corpusloom.session import arrow_batches, stage_table
 
 BANDS, ROWS = 24, 5
 SKETCH_BASE, RATE, LIMIT = 1.001, 20.0, 65_534
 #: Pairs estimated this far below the threshold aren't verified: five standard errors of 120 registers at 0.8.
 SLACK = 0.19
+#: Rows of an Arrow batch that holds full sets.
+SET_ROWS = 256
 _ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _ADD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) ^ np.uint64(0x5DEECE66D))
 
@@ -164,17 +167,65 @@ def _confirmed(percent: int):
     return run
 
 
-def verify_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose full sets reach the threshold."""
+def _seek(percent: int):
+    """Links between the seekers and the members of each (key, i, j); rows come sorted by those."""
+
+    def settle(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        members = [(r[1], r[2], np.frombuffer(r[4], np.uint64)) for r in rows if r[3]]
+        seekers = [(r[1], r[2], np.frombuffer(r[4], np.uint64)) for r in rows if not r[3]]
+        if not members or not seekers:
+            return [], []
+        ids, parts = np.array([m[0] for m in members]), np.array([m[1] for m in members])
+        sizes = np.array([len(m[2]) for m in members])
+        owner, every = np.repeat(np.arange(len(members)), sizes), np.concatenate([m[2] for m in members])
+        a, b = [], []
+        for one, part, x in seekers:
+            at = np.minimum(np.searchsorted(x, every), len(x) - 1)
+            both = np.bincount(owner[x[at] == every], minlength=len(members))
+            near = (100 * both >= percent * (sizes + len(x) - both)) & (parts != part)
+            # one link to each component does
+            _, first = np.unique(parts[near], return_index=True)
+            a += [one] * len(first)
+            b += ids[near][first].tolist()
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for k, i, j, one, c, member, s in zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "id", "c", "member", "members")), strict=True):
+                if (k, i, j) != now:
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in settle(held)], names=["a", "b"])
+                    held, now = [], (k, i, j)
+                held.append((k, one, c, member, s))
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in settle(held)], names=["a", "b"])
+
+    return run
+
+
+def find_links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``a, b`` of ``nodes(id, n, reg, bands)`` that join the components of all that the buckets hold."""
+    shared = shared_buckets(nodes.select("id", F.explode("bands").alias("key")), "near")
+    pairs = star_pairs(shared, "near")
     side = lambda s: nodes.select(F.col("id").alias(s), F.col("reg").alias(f"reg_{s}"), F.col("n").alias(f"n_{s}"))
     likely = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "reg_a", "reg_b", "n_a", "n_b")
-    likely = stage_table(likely.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").mapInArrow(_likely(percent / 100 - SLACK), "a long, b long"), "likely-pairs")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = stage_table(wanted, "candidates")
-    texts = maybe_in(wanted, ["id"])(docs.select(F.col("doc_id").cast("long").alias("id"), "text")).join(wanted, "id").dropDuplicates(["id"])
-    sets = stage_table(full_sets(texts, size), "candidate-sets")
+    likely = stage_table(likely.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").mapInArrow(_likely(percent / 100 - SLACK), "a long, b long"), "near-likely")
+    # ids of likely pairs, and of buckets of three or more, where links may be left open
+    crowds = shared.groupBy("key").agg(F.count("*").alias("m")).filter("m > 2").select("key")
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).unionByName(shared.join(crowds, "key", "left_semi").select("id")).distinct()
+    wanted = stage_table(wanted, "near-candidates")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = maybe_in(wanted, ["id"])(texts).join(wanted, "id").dropDuplicates(["id"])
+    sets = stage_table(full_sets(texts, size), "near-sets")
     full = likely.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-    return full.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long")
+    with arrow_batches(docs.sparkSession, SET_ROWS):
+        links = stage_table(full.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long"), "near-links")
+    seekers, members = open_blocks(shared, links, "near")
+    both = seekers.withColumn("member", F.lit(False)).unionByName(members.withColumn("member", F.lit(True))).join(sets, "id")
+    met = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_seek(percent), "a long, b long")
+    with arrow_batches(docs.sparkSession, SET_ROWS):
+        return links.unionByName(stage_table(met, "near-links-2"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -184,14 +235,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     member = rows.select("doc_id", "n", "fp").join(classes, "fp", "left")
     nodes = rows.filter("n > 0").withColumnRenamed("doc_id", "id").join(classes, ["id", "fp"])
     nodes = stage_table(nodes.select("id", "n", "reg", "bands").dropDuplicates(["id"]), "classes")
-    bands = nodes.select("id", F.explode("bands").alias("key"))
-    texts = docs.select("doc_id", "text")
-    links = bucket_links(bands, lambda pairs: verify_pairs(pairs, nodes, texts, size, percent), "near")
+    links = find_links(nodes, docs.select("doc_id", "text"), size, percent)
     same = member.filter("id is not null").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     found = connected_components(links.unionByName(same), "components")
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component that of the least doc_id, once. Null ids stay."""
+    gone = stage_table(near_duplicates(docs, size, percent).filter("not kept").select("doc_id").distinct(), "near-gone")
+    twice = stage_table(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "near-twice")
+    hit = maybe_in(gone, ["doc_id"])
+    rest = hit.drop(docs).unionByName(hit.keep(docs).join(gone, "doc_id", "left_anti").select(docs.columns))
+    again = maybe_in(twice, ["doc_id"])
+    return again.drop(rest).unionByName(again.keep(rest).dropDuplicates(["doc_id"]))
+
+
 def op10_near_dup(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=4, percent=80)

@@ -41,12 +41,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.arrays import BLOCK_BYTES, RangeHash, blocks, mix, text_bytes
 from corpusloom.llm.bitmap import maybe_in
-from corpusloom.session import stage_table
+from corpusloom.session import arrow_batches, stage_table
 
 LENGTH = 400
 #: Distinct runs of one gram beyond which its strings are counted as rows.
 HOT_RUNS = 20_000
-GRAM_BITMAP_WORDS = 1 << 20
+GRAM_BITMAP_WORDS = 1 << 18
 KEY = ["tk", "n"]
 
 
@@ -216,7 +216,8 @@ def repeated_intervals(texts: DataFrame, length: int = LENGTH, hot_runs: int = H
     lists = runs.join(heat, "g").groupBy(*KEY).agg(F.collect_list(F.struct("g", "a", "p", "b", "hot")).alias("runs"))
     lists = stage_table(lists, "runs-by-text")
     some = maybe_in(lists, KEY)(texts.select(*KEY, "text")).join(lists, KEY).dropDuplicates(KEY)
-    around = stage_table(context_rows(some.select("tk", "n", F.col("text").cast("binary").alias("text"), "runs"), length), "around")
+    with arrow_batches(texts.sparkSession, 1000):
+        around = stage_table(context_rows(some.select("tk", "n", F.col("text").cast("binary").alias("text"), "runs"), length), "around")
     near = around.filter("not hot").repartition("g").sortWithinPartitions("g").mapInArrow(_repeats(length), "tk long, n long, lo long, hi long")
     named = around.filter("hot").mapInArrow(_named(length), "name long, tk long, n long, q long")
     twice = named.groupBy("name").agg(F.count("*").alias("c")).filter("c > 1").select("name")

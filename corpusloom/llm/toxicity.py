@@ -251,15 +251,15 @@ def train(docs: DataFrame, labels: DataFrame, usable, max_train: int = MAX_TRAIN
     return Model(learn_terms(texts, y), fit_logistic(x, y))
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``toxicity`` added (one of that name is replaced)."""
+def score_documents(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
+    """``docs`` with the score as ``column`` (one of that name is replaced)."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([model.score(t) for t in texts], dtype=float)
 
-    return docs.withColumn("toxicity", score("text"))
+    return docs.withColumn(column, score("text"))
 
 
 def held_out(doc_id: str = "doc_id"):
