@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Odd multiplier of the polynomial byte hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)

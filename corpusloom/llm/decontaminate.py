@@ -16,7 +16,7 @@ exact edit distance then confirms within the window widened by the edits
 allowed.
 
 The items are sent to every task in blocks of ``block_items``; texts aren't
-shuffled. Memory: one block of items, and 1 MB of text at a time or one whole
+shuffled. Memory: one block of items, and 256 KB of text at a time or one whole
 text where it is longer.
 
 Defined results: null and empty texts, and items without words, match nothing.

@@ -25,7 +25,7 @@ repeats alone.
 
 Defined results: a null text counts as empty and loses nothing. Two rows with
 one text repeat each other, whatever their ids, null ids included. Rows return
-as many as they came. Texts are processed in segments of 1 MB that overlap, so
+as many as they came. Texts are processed in overlapping segments of ``BLOCK_BYTES``, so
 length is no limit. Columns other than ``doc_id`` and ``text`` are ignored. An
 empty table returns no row.
 """
@@ -258,7 +258,8 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def op9_suffix_dedup(spark, sf_dir):
     docs = keyed(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumn("doc_id", F.col("doc_id").cast("long"))
-    spans = stage_table(repeated_intervals(docs.select("tk", "n", "text")), "spans")
+    with arrow_batches(spark, 2000):
+        spans = stage_table(repeated_intervals(docs.select("tk", "n", "text")), "spans")
     hit = maybe_in(spans, KEY)
     some = hit.keep(docs).join(spans, KEY, "left").select("doc_id", F.col("text").cast("binary").alias("text"), "spans")
     rest = hit.drop(docs).select("doc_id", F.col("text").cast("binary").alias("text"), F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>").alias("spans"))
