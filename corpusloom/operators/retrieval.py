@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import functools
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -64,13 +65,16 @@ def checked_vector(v: Column, dim: int) -> Column:
 
 
 def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int = 40, id_col: str = "chunk_id", vec: str = "embedding", query_id: str = "query_id", max_queries: int = 10_000) -> DataFrame:
-    """Exact cosine top-k. The query side is sent to every task, so it must be at most ``max_queries`` rows."""
-    if queries.limit(max_queries + 1).count() > max_queries:
-        raise ValueError(f"more than {max_queries} queries: run them in blocks")
+    """Exact cosine top-k. The query side is sent to every task in blocks of about ``max_queries`` rows."""
+    n = max(1, -(-queries.count() // max_queries))
     q = queries.select(query_id, F.col(vec).alias("_q"), F.sqrt(dot(F.col(vec), F.col(vec))).alias("_qn"))
     v = vectors.select(id_col, F.col(vec).alias("_v"), F.sqrt(dot(F.col(vec), F.col(vec))).alias("_vn"))
     sim = F.round(dot(F.col("_v"), F.col("_q")) / F.nullif(F.col("_vn") * F.col("_qn"), F.lit(0.0)), 6)
-    return top_k(v.crossJoin(F.broadcast(q)).select(query_id, id_col, sim.alias("score")), k, query_id, id_col)
+    found = []
+    for b in range(n):  # all rows of a query_id share a block
+        block = q.filter(F.pmod(F.xxhash64(query_id), F.lit(n)) == b) if n > 1 else q
+        found.append(top_k(v.crossJoin(F.broadcast(block)).select(query_id, id_col, sim.alias("score")), k, query_id, id_col))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def fuse(arms: DataFrame, weights: dict[str, float], top_n: int = 40, query_id: str = "query_id", id_col: str = "chunk_id") -> DataFrame:
