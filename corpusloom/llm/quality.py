@@ -2,19 +2,23 @@
 
 The text view sees shares of single bytes and byte classes, word and line
 statistics and repetition; the metadata view sees language, source (hashed) and
-length. Each view is a logistic model. For some rounds each labels the pool of
-unlabelled rows; the rows it is surest of, in the classes' proportion, join the
+length. Each view is a logistic model. For some rounds each labels all unlabelled
+rows; the rows it is surest of among all, in the classes' proportion, join the
 other view's training set. Both views are then calibrated on folds of the
 labelled rows and combined by a last logistic model over their log odds.
 
-The fit uses at most ``max_train`` labelled and ``max_pool`` unlabelled rows,
-chosen by hash of the id; their features, not their texts, reach the driver.
-Every document is scored, from its whole text.
+The features of the unlabelled rows are written to the shared folder once and
+scored there each round; every task reports its surest rows, and the surest of
+those win. The fit uses at most ``max_train`` labelled rows, chosen by hash of the
+id, and ``max_join`` pseudo-labelled ones a view; their features, not their
+texts, reach the driver. Every document is scored, from its whole text.
 
 Defined results: a null text counts as empty; null metadata is a value of its
 own. Labels that are null, or of missing documents, are left out. Without both
-classes among the labels every score is 0.5 and every row is kept. Repeated rows
-each return a row. Columns other than ``doc_id, text, lang, source, n_chars``
+classes among the labels every score is 0.5 and every row is kept; any number of
+labels of both classes is fitted. A fold without which a class has no label is
+calibrated by the views fitted on all. Repeated rows each return a row; as
+pseudo-labels they count once. Columns other than ``doc_id, text, lang, source, n_chars``
 are ignored; of those but the first two any may be missing. An empty table
 returns no row.
 """
@@ -29,9 +33,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.llm.arrays import blocks, text_bytes, word_spans
+from corpusloom.llm.arrays import blocks, mix, text_bytes, word_spans
+from corpusloom.llm.bitmap import maybe_in
+from corpusloom.session import stage_table
 
-MAX_TRAIN, MAX_POOL, ROUNDS, SURE = 4_000, 4_000, 4, 0.9
+MAX_TRAIN, MAX_JOIN, ROUNDS, SURE = 4_000, 1_000, 4, 0.9
+BITMAP_WORDS = 1 << 19
 SOURCE_BUCKETS, LANG_BUCKETS = 32, 8
 _PUNCT = np.array([b for b in range(33, 127) if not chr(b).isalnum()])
 _CLASS = np.zeros((6, 256), bool)
@@ -111,30 +118,158 @@ def probability(log_odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-log_odds))
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], rounds: int = ROUNDS, sure: float = SURE) -> tuple[list[Logistic], int]:
-    """The two views' models after exchanging sure pseudo-labels; also how many they exchanged."""
-    share = y.mean()
-    gained = [(np.zeros(0, int), np.zeros(0)), (np.zeros(0, int), np.zeros(0))]
-    fit = lambda v: Logistic.fit(np.vstack([views[v], pools[v][gained[v][0]]]), np.concatenate([y, gained[v][1]]))
-    models = [fit(0), fit(1)]
+@dataclass
+class Wish:
+    """What a view of one fit asks of the pool: its surest rows of each class, without those it gave before."""
+
+    view: int
+    model: Logistic
+    given: np.ndarray
+    n_good: int
+    n_bad: int
+
+
+def _surest(odds: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` largest odds of different ids; ties by a hash of the id."""
+    order = np.lexsort((rows, ids, mix(ids.astype(np.uint64)), -odds))
+    first = np.sort(np.unique(ids[order], return_index=True)[1])[:k]
+    return order[first]
+
+
+class Pool:
+    """Features of all unlabelled rows, in the shared folder: ``doc_id, row, x``."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame):
+        docs = _input(docs).filter("doc_id is not null")
+        known = labels.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
+        hit = maybe_in(known, ["doc_id"], BITMAP_WORDS)
+        held = hit.keep(docs)
+        # held by chance: found by ids alone, so that few texts are shuffled
+        chance = stage_table(held.select("doc_id").distinct().join(known, "doc_id", "left_anti"), "quality-chance")
+        back = maybe_in(chance, ["doc_id"], BITMAP_WORDS).keep(held).join(chance, "doc_id", "left_semi")
+        rest = hit.drop(docs).unionByName(back.select(docs.columns))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = np.hstack(_both(batch))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
+
+        found = rest.mapInArrow(run, "doc_id long, x binary").withColumn("row", F.monotonically_increasing_id())
+        self.rows = stage_table(found.select("doc_id", "row", "x"), "quality-pool")
+        self.n = self.rows.count()
+
+    def pick(self, wishes: list[Wish], sure: float = SURE) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids, features and labels of the rows that each wish gets."""
+        least = np.log(sure / (1 - sure))
+        counts = [k for w in wishes for k in (w.n_good, w.n_bad)]  # slot 2i: good, 2i + 1: bad
+
+        def merge(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+            slot, odds, ids, rows = (np.concatenate(c) for c in zip(*parts, strict=True))
+            keep = [np.zeros(0, int)]
+            for i in np.unique(slot):
+                at = np.flatnonzero(slot == i)
+                keep.append(at[_surest(odds[at], ids[at], rows[at], counts[i])])
+            at = np.concatenate(keep)
+            return slot[at], odds[at], ids[at], rows[at]
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = None
+            for batch in batches:
+                if not len(batch):
+                    continue
+                ids, rows = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                x = np.frombuffer(b"".join(batch.column(2).to_pylist())).reshape(-1, N_TEXT + N_META)
+                parts = [best] if best else []
+                for i, w in enumerate(wishes):
+                    odds = np.round(w.model.log_odds(_view(x, w.view)), 9)
+                    free = ~np.isin(ids, w.given)
+                    for slot, towards in ((2 * i, odds), (2 * i + 1, -odds)):
+                        at = np.flatnonzero(free & (towards >= least))
+                        parts.append((np.full(len(at), slot), towards[at], ids[at], rows[at]))
+                best = merge(parts)
+            if best:
+                yield _candidates(best)
+
+        def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = None
+            for batch in batches:
+                if len(batch):
+                    part = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                    best = merge([best, part] if best else [part])
+            if best:
+                yield _candidates(best)
+
+        found = self.rows.mapInArrow(score, CANDIDATES).repartition(16).mapInArrow(again, CANDIDATES).toArrow()
+        columns = [c.to_numpy() for c in found.columns]
+        if not found.num_rows:
+            return [(np.zeros(0, int), np.zeros((0, N_TEXT + N_META)), np.zeros(0))] * len(wishes)
+        slot, _, ids, rows = merge([tuple(columns)])
+        wanted = self.rows.sparkSession.createDataFrame(pa.table({"row": np.unique(rows)}))
+        have = self.rows.join(F.broadcast(wanted), "row").select("row", "x").toArrow()
+        x_of = dict(zip(have.column("row").to_pylist(), have.column("x").to_pylist(), strict=True))
+        out = []
+        for i in range(len(wishes)):
+            at = np.flatnonzero(slot // 2 == i)
+            x = np.frombuffer(b"".join(x_of[r] for r in rows[at].tolist())).reshape(-1, N_TEXT + N_META)
+            out.append((ids[at], x, 1.0 - slot[at] % 2))
+        return out
+
+
+CANDIDATES = "slot long, odds double, doc_id long, row long"
+
+
+def _candidates(columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["slot", "odds", "doc_id", "row"])
+
+
+def _view(x: np.ndarray, view: int) -> np.ndarray:
+    return x[:, N_TEXT:] if view else x[:, :N_TEXT]
+
+
+class Fit:
+    """The two views on one set of labelled rows, and what each has been taught by the other."""
+
+    def __init__(self, views: list[np.ndarray], y: np.ndarray):
+        self.views, self.y = views, y
+        self.gained = [[(np.zeros(0, int), np.zeros((0, N_TEXT + N_META)), np.zeros(0))] for _ in views]
+        self.done = False
+        self.fit()
+
+    def fit(self) -> None:
+        self.models = []
+        for v, x in enumerate(self.views):
+            more = [_view(g[1], v) for g in self.gained[v]]
+            self.models.append(Logistic.fit(np.vstack([x, *more]), np.concatenate([self.y, *(g[2] for g in self.gained[v])])))
+
+    def wishes(self, take: int) -> list[Wish]:
+        share = self.y.mean()
+        n_good, n_bad = max(1, int(take * share)), max(1, int(take * (1 - share)))
+        return [Wish(v, self.models[v], np.concatenate([g[0] for g in self.gained[1 - v]]), n_good, n_bad) for v in (0, 1)]
+
+    def learn(self, new: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        if not sum(len(n[0]) for n in new):
+            self.done = True
+            return
+        for v in (0, 1):  # what one view is sure of teaches the other
+            self.gained[1 - v].append(new[v])
+        self.fit()
+
+    @property
+    def exchanged(self) -> int:
+        return sum(len(g[0]) for gained in self.gained for g in gained)
+
+
+def co_train(fits: list[Fit], pool: Pool, rounds: int = ROUNDS, max_join: int = MAX_JOIN) -> None:
+    """Rounds of exchange for several fits together: the pool is read for all at once."""
+    take = max(1, min(pool.n // 4, max_join) // max(1, rounds))
     for _ in range(rounds):
-        new = []
-        for v in (0, 1):
-            p = probability(models[v].log_odds(pools[v])) if len(pools[v]) else np.zeros(0)
-            free = ~np.isin(np.arange(len(p)), gained[1 - v][0])
-            take = max(1, len(p) // (4 * rounds))
-            picks = []
-            for label, q, part in ((1.0, p, share), (0.0, 1 - p, 1 - share)):
-                good = np.flatnonzero(free & (q >= sure))
-                best = good[np.argsort(-q[good], kind="stable")][: max(1, int(take * part))]
-                picks.append((best, np.full(len(best), label)))
-            new.append((np.concatenate([x for x, _ in picks]), np.concatenate([l for _, l in picks])))
-        if not len(new[0][0]) + len(new[1][0]):
+        open_fits = [f for f in fits if not f.done]
+        if not open_fits or not pool.n:
             break
-        for v in (0, 1):  # what one view is sure of teaches the other
-            gained[1 - v] = tuple(np.concatenate([a, b]) for a, b in zip(gained[1 - v], new[v], strict=True))
-        models = [fit(0), fit(1)]
-    return models, sum(len(g[0]) for g in gained)
+        got = pool.pick([w for f in open_fits for w in f.wishes(take)])
+        for i, f in enumerate(open_fits):
+            f.learn(got[2 * i : 2 * i + 2])
 
 
 @dataclass
@@ -151,19 +286,28 @@ class Model:
         return probability(self.last.log_odds(np.stack(odds, 1))), probability(odds[0]), probability(odds[1])
 
 
-def train_arrays(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS) -> Model:
-    if len(set(y.tolist())) < 2 or len(y) < 20:
-        return Model()
-    fold = np.random.default_rng(len(y)).permutation(len(y)) % 3
-    odds = np.zeros((len(y), 2))
+def folds_of(y: np.ndarray, n: int = 3) -> np.ndarray:
+    """A fold of each row; the classes are dealt apart, so that two rows of a class never share all folds."""
+    rng, fold = np.random.default_rng(len(y)), np.zeros(len(y), int)
+    for label in (0, 1):
+        at = np.flatnonzero(y == label)
+        fold[at] = rng.permutation(len(at)) % n
+    return fold
+
+
+def train_arrays(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool: Pool, rounds: int = ROUNDS, max_join: int = MAX_JOIN) -> Model:
+    fold = folds_of(y)
+    whole, parts = Fit([text, meta], y), {}
     for f in range(3):  # views that haven't seen a fold rate it, for calibration
-        a, b = fold != f, fold == f
-        if len(set(y[a].tolist())) < 2:
-            return Model()
-        models, _ = co_train([text[a], meta[a]], y[a], [pool_text, pool_meta], rounds)
-        odds[b] = np.stack([m.log_odds(x[b]) for m, x in zip(models, (text, meta), strict=True)], 1)
-    models, exchanged = co_train([text, meta], y, [pool_text, pool_meta], rounds)
-    return Model(models, Logistic.fit(odds, y), exchanged)
+        a = fold != f
+        if len(set(y[a].tolist())) == 2:
+            parts[f] = Fit([text[a], meta[a]], y[a])
+    co_train([whole, *parts.values()], pool, rounds, max_join)
+    odds = np.zeros((len(y), 2))
+    for f in range(3):
+        b = fold == f
+        odds[b] = np.stack([m.log_odds(x[b]) for m, x in zip(parts.get(f, whole).models, (text, meta), strict=True)], 1)
+    return Model(whole.models, Logistic.fit(odds, y), whole.exchanged)
 
 
 COLUMNS = ("lang", "source", "n_chars")
@@ -188,21 +332,17 @@ def featurise(docs: DataFrame) -> DataFrame:
     return _input(docs).mapInArrow(run, "doc_id long, t array<double>, m array<double>")
 
 
-def train(docs: DataFrame, labels: DataFrame, usable=None, max_train: int = MAX_TRAIN, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, usable=None, max_train: int = MAX_TRAIN, max_join: int = MAX_JOIN, rounds: int = ROUNDS) -> Model:
     known = labels.filter("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).dropDuplicates(["doc_id"])
     known = known.filter(usable) if usable is not None else known
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    ids = docs.select("doc_id").filter("doc_id is not null").join(labels.select("doc_id"), "doc_id", "left_anti").distinct()
-    pool = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_pool)
-    wanted = known.unionByName(pool.withColumn("quality", F.lit(None).cast("int")))
-    rows = docs.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
-    found = featurise(rows).join(F.broadcast(wanted), "doc_id").orderBy("doc_id").toPandas()
-    if not len(found):
+    rows = docs.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    found = featurise(rows).join(F.broadcast(known), "doc_id").orderBy("doc_id").toPandas()
+    y = found["quality"].to_numpy(float)
+    if len(set(y.tolist())) < 2:
         return Model()
     text, meta = np.stack(found["t"].to_numpy()), np.stack(found["m"].to_numpy())
-    y = found["quality"].to_numpy(float)
-    has = ~np.isnan(y)
-    return train_arrays(text[has], meta[has], y[has], text[~has], meta[~has], rounds)
+    return train_arrays(text, meta, y, Pool(docs, labels), rounds, max_join)
 
 
 THRESHOLD = 0.5
