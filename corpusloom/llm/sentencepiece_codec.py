@@ -8,10 +8,14 @@ For BPE the merges are every split of a piece into two pieces, ordered by score.
 
 Where no piece crosses from a letter into a metaspace marker, a text's encoding
 is the concatenation of its segments' (markers and what follows them). Segments
-not seen before by a worker are encoded in one multithreaded batch and kept in a
-bounded table. Every new segment's ids are checked against the sentencepiece
-library; a segment that differs takes that library's ids and marks its rows
-``parity`` false. Every row is decoded again and compared with its text.
+a worker doesn't know are encoded in multithreaded batches of the tokenizers
+library and kept in a table of bounded size: two generations, the older of which
+goes when the younger is full, by number and by characters. Longer segments than
+``KEPT_CHARS`` aren't kept. The ids returned are always the tokenizers library's.
+The sentencepiece library encodes each new segment too; rows with a segment on
+which the two differ have ``parity`` false. The rebuilt decoder turns each
+segment's ids into text again; a row's texts, put together, are compared with the
+row's own. A model without that property is encoded, verified and decoded by rows.
 
 Defined results: a null or empty text has no ids and decodes to the empty text.
 A text that the normaliser changes (for the identity one: a marker character of
@@ -21,8 +25,8 @@ other than ``doc_id`` and ``text`` are ignored. An empty table returns no row.
 
 from __future__ import annotations
 
-import gc
 import hashlib
+import os
 import re
 import struct
 from array import array
@@ -40,7 +44,10 @@ MARK = "▁"
 #: Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-KEPT_SEGMENTS = 500_000
+#: Segments and characters of a generation of the table, and the longest segment kept.
+KEPT_SEGMENTS, KEPT_TEXT, KEPT_CHARS = 150_000, 3_000_000, 64
+#: Threads of the tokenizers library in a worker; rows, new segments and characters encoded together.
+THREADS, ROWS, SEGMENTS, PART_BYTES = 2, 256, 4096, 1 << 20
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -153,10 +160,14 @@ def build(spec: Spec) -> Tokenizer:
         raise ValueError(f"model type {spec.model_type}")
     tokenizer = Tokenizer(model)
     tokenizer.normalizer = normaliser(spec)
-    steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    if spec.dummy_prefix:
-        steps.append(decoders.Strip(" ", 1, 0))
-    tokenizer.decoder = decoders.Sequence(steps)
+    control = [p for p, _, kind in spec.pieces if kind == CONTROL]
+    if control:  # these decode to nothing; in a text their names are ordinary text
+        tokenizer.add_special_tokens(control)
+        tokenizer.encode_special_tokens = True
+    steps = [decoders.Metaspace(replacement=MARK, prepend_scheme="never")]
+    if not spec.byte_fallback:  # with it, no text has unknown pieces
+        steps.append(decoders.Replace(unk, " ⁇ "))
+    tokenizer.decoder = decoders.Sequence([*steps, decoders.ByteFallback(), decoders.Fuse()])
     return tokenizer
 
 
@@ -164,67 +175,126 @@ def _pack(ids: list[int]) -> bytes:
     return array("i", ids).tobytes()
 
 
+def parts(texts: list[str], most: int = ROWS) -> Iterator[list[str]]:
+    """``texts`` in order, in lists of at most ``most`` texts and about ``PART_BYTES`` characters."""
+    at, held = 0, 0
+    for i, text in enumerate(texts):
+        if i > at and (i - at >= most or held + len(text) > PART_BYTES):
+            yield texts[at:i]
+            at, held = i, 0
+        held += len(text)
+    if at < len(texts):
+        yield texts[at:]
+
+
 class Codec:
     """Encoder and decoder of one model."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, kept_segments: int = KEPT_SEGMENTS):
         self.spec = parse_model(model)
         self.tokenizer = build(self.spec)
-        plain = not self.spec.charsmap and not self.spec.collapse and self.spec.escape and self.spec.dummy_prefix
-        self.normalise = self._plain if plain else self.tokenizer.normalizer.normalize_str
-        self.segments_only = Tokenizer.from_str(self.tokenizer.to_str())
-        self.segments_only.normalizer = normalizers.Sequence([])
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
         spelled = [p for p, _, kind in self.spec.pieces if kind in (NORMAL, USER_DEFINED)]
         self.local = self.spec.escape and self.spec.dummy_prefix and not any(re.search(f"[^{MARK}]{MARK}", p) for p in spelled)
+        plain = not self.spec.charsmap and not self.spec.collapse and self.spec.escape and self.spec.dummy_prefix
+        self.normalise = self._plain if plain else normaliser(self.spec).normalize_str
+        if self.local:  # texts are normalised before they are cut
+            self.tokenizer.normalizer = normalizers.Sequence([])
+        self.spec.pieces = [p for p in self.spec.pieces if p[2] != NORMAL]
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
-        self.differ: set[str] = set()
-        self.mark_id = next((i for i, p in enumerate(self.spec.pieces) if p[0] == MARK and p[2] == NORMAL), None)
-        self.bytes_of = []
-        for p, _, kind in self.spec.pieces:
-            self.bytes_of.append(bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else " ⁇ ".encode() if kind == UNKNOWN else p.replace(MARK, " ").encode())
+        self.kept = kept_segments
+        self.young: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+        self.differ: set[str] = set()  # segments on which the libraries differ
+        self.unlike: dict[str, str] = {}  # segments that decode to another text
 
     @staticmethod
     def _plain(text: str) -> str:
         return MARK + text.replace(" ", MARK)
 
-    def _learn(self, segments: list[str]) -> None:
-        if len(self.known) > KEPT_SEGMENTS:
-            self.known.clear(), self.differ.clear()
-        got = [e.ids for e in self.segments_only.encode_batch_fast(segments, add_special_tokens=False)]
-        # the reference adds the first marker itself; it can't be asked for a marker alone
-        want = self.reference.encode([s[1:].replace(MARK, " ") for s in segments], num_threads=1)
-        if self.mark_id is not None and MARK in segments:
-            want[segments.index(MARK)] = [self.mark_id]
-        if got != want:
-            self.differ |= {s for s, x, y in zip(segments, got, want, strict=True) if x != y}
-        self.known.update(zip(segments, map(_pack, want), strict=True))
+    def _ask(self, segments: list[str]) -> list[list[int]]:
+        """The reference's ids; it adds the first marker itself and is asked for a lone one by its name."""
+        want = self.reference.encode([s[1:].replace(MARK, " ") if s.startswith(MARK) else s for s in segments], num_threads=1)
+        if MARK in segments:
+            want[segments.index(MARK)] = [self.reference.piece_to_id(MARK)]
+        return want
+
+    def _learn(self, segments: list[str]) -> dict[str, bytes]:
+        known = {}
+        for part in parts(segments, SEGMENTS):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            for s, x, y in zip(part, got, self._ask(part), strict=True):
+                if x != y:
+                    self.differ.add(s)
+            for s, text in zip(part, self.tokenizer.decode_batch(got, skip_special_tokens=True), strict=True):
+                if text != s.replace(MARK, " "):
+                    self.unlike[s] = text
+            known.update(zip(part, map(_pack, got), strict=True))
+        return known
+
+    def _ids_of(self, segments: set[str]) -> dict[str, bytes]:
+        """Ids of all ``segments``, known or learned now."""
+        found, new, young, old = {}, [], self.young, self.old
+        for s in segments:
+            ids = young.get(s)
+            if ids is None:
+                ids = old.get(s)
+                if ids is None:
+                    new.append(s)
+                    continue
+                young[s] = ids
+                self.held += len(s)
+            found[s] = ids
+        if new:
+            new.sort()  # neighbours share beginnings, which both libraries then find in the processor's cache
+            learned = self._learn(new)
+            found |= learned
+            for s, ids in learned.items():
+                if len(s) <= KEPT_CHARS:
+                    young[s] = ids
+                    self.held += len(s)
+        return found
+
+    def _forget(self) -> None:
+        if len(self.young) > self.kept or self.held > KEPT_TEXT:
+            self.old, self.young, self.held = self.young, {}, 0
+            self.differ = {s for s in self.differ if s in self.old}
+            self.unlike = {s: t for s, t in self.unlike.items() if s in self.old}
+        elif len(self.differ) + len(self.unlike) > self.kept:
+            self.young, self.old, self.held, self.differ, self.unlike = {}, {}, 0, set(), {}
+
+    def round_trips(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, str]]:
+        """Ids of each text, whether both libraries agree on them, and the text they decode to."""
+        for part in parts(texts):
+            if not self.local:
+                got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                for ids, ref, text in zip(got, self.reference.encode(part, num_threads=1), self.decode_batch(got), strict=True):
+                    yield np.array(ids, "<i4"), ids == ref, text
+                continue
+            whole = [self.normalise(t) if t else "" for t in part]
+            split = [self.cut.findall(t) for t in whole]
+            known = self._ids_of(set().union(*split))
+            for text, segments in zip(whole, split, strict=True):
+                same = not self.differ or self.differ.isdisjoint(segments)
+                if self.unlike and not self.unlike.keys().isdisjoint(segments):
+                    text = "".join([self.unlike.get(s, s) for s in segments])
+                yield np.frombuffer(b"".join([known[s] for s in segments]), "<i4"), same, self._unmark(text.replace(MARK, " "))
+            self._forget()
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """Ids of each text, and whether both libraries agree on them."""
-        if not self.local:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return [(np.array(ref, "<i4"), ids == ref) for ids, ref in zip(got, self.reference.encode(texts, num_threads=1), strict=True)]
-        out, known = [], self.known
-        for i in range(0, len(texts), 256):
-            split = [self.cut.findall(self.normalise(t)) if t else [] for t in texts[i : i + 256]]
-            every = set().union(*split)
-            if new := every - known.keys():
-                self._learn(sorted(new))
-                if missing := every - known.keys():  # the table was emptied
-                    self._learn(sorted(missing))
-            for segments in split:
-                ids = np.frombuffer(b"".join([known[s] for s in segments]), "<i4")
-                out.append((ids, not self.differ or self.differ.isdisjoint(segments)))
-        return out
+        return [(ids, same) for ids, same, _ in self.round_trips(texts)]
 
-    def decode(self, ids) -> str:
-        ids, table = np.asarray(ids).tolist(), self.bytes_of
-        data = b"".join([table[i] for i in ids])
-        text = data.decode("utf-8", "replace")
+    def _unmark(self, text: str) -> str:
         return text[1:] if self.spec.dummy_prefix and text.startswith(" ") else text
 
+    def decode_batch(self, ids: list[list[int]]) -> list[str]:
+        return [self._unmark(t) for t in self.tokenizer.decode_batch(ids, skip_special_tokens=True)]
+
+    def decode(self, ids) -> str:
+        return self.decode_batch([np.asarray(ids).tolist()])[0]
+
 
 def read_model(spark, path: str) -> bytes:
     if "://" in path:
@@ -241,24 +311,28 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, with_ids: bool =
     model = docs.sparkSession.sparkContext.broadcast(read_model(docs.sparkSession, model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         codec = Codec(model.value)
-        gc.disable()  # no cycles are made, and the table of segments is dear to walk
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                texts = [t or "" for t in part.column(1).to_pylist()]
+            at = 0
+            while at < len(batch):
+                texts, held = [], 0
+                while at + len(texts) < len(batch) and len(texts) < ROWS and (not texts or held < PART_BYTES):
+                    texts.append(batch.column(1)[at + len(texts)].as_py() or "")
+                    held += len(texts[-1])
                 n, all_ids, sha, parity, back = [], [], [], [], []
-                for text, (ids, same) in zip(texts, codec.encode(texts), strict=True):
-                    n.append(len(ids)), sha.append(hashlib.sha256(ids.tobytes()).hexdigest()), parity.append(same), back.append(codec.decode(ids) == text)
+                for text, (ids, same, decoded) in zip(texts, codec.round_trips(texts), strict=True):
+                    n.append(len(ids)), sha.append(hashlib.sha256(ids.tobytes()).hexdigest()), parity.append(same), back.append(decoded == text)
                     all_ids.append(ids if with_ids else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(all_ids, pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(sha), pa.array(parity, pa.bool_()), pa.array(back, pa.bool_())],
+                    [batch.column(0).slice(at, len(texts)), pa.array(all_ids, pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(sha), pa.array(parity, pa.bool_()), pa.array(back, pa.bool_())],
                     names=["doc_id", "ids", "n_tokens", "ids_sha256", "parity", "round_trip"],
                 )
+                at += len(texts)
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
     return out if with_ids else out.drop("ids")
 
 
 def op2_sentencepiece(spark, sf_dir):
-    return encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_ids=False)
+    return encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
