@@ -67,18 +67,47 @@ def powers(n: int, base: int, name: str) -> np.ndarray:
     return have[:n]
 
 
+PRIME = np.uint64((1 << 31) - 1)
+PRIME_BASE = 1_220_703_125
+
+
+def prime_powers(n: int, base: int, name: str) -> np.ndarray:
+    """``base ** i`` modulo ``PRIME``, by doubling."""
+    have = _POWERS.get(name)
+    if have is None or len(have) < n:
+        size = max(n, BLOCK_BYTES + 4096)
+        have = np.ones(1, np.uint64)
+        while len(have) < size:
+            have = np.concatenate([have, have * np.uint64(pow(base, len(have), int(PRIME))) % PRIME])
+        if size <= 16 * BLOCK_BYTES:  # tables of a giant text aren't kept
+            _POWERS[name] = have
+    return have[:n]
+
+
 class RangeHash:
-    """Hashes of byte ranges of one buffer in constant time each: equal bytes, equal hash, wherever they stand."""
+    """Hashes of byte ranges of one buffer in constant time each: equal bytes, equal hash, wherever they stand.
+
+    Two polynomials, modulo 2**64 and modulo the prime 2**31 - 1, are mixed: texts
+    built to collide under the first (such as Thue-Morse words) don't under the
+    second. Different ranges have equal hashes with probability 2**-64.
+    """
 
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(n, BASE, "up"), out=self.sums[1:])
+        one = data.astype(np.uint64) + np.uint64(1)
+        np.cumsum(one * powers(n, BASE, "up"), out=self.sums[1:])
         self.down = powers(n + 1, BASE_INV, "down")
+        # sums of n numbers under 2**31 * 257 stay under 2**63 up to 2**24 bytes; longer ones are reduced first
+        terms = one * prime_powers(n, PRIME_BASE, "prime-up")
+        self.prime_sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(terms if n < 1 << 24 else terms % PRIME, out=self.prime_sums[1:])
+        self.prime_down = prime_powers(n + 1, pow(PRIME_BASE, -1, int(PRIME)), "prime-down")
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         raw = (self.sums[end] - self.sums[start]) * self.down[start]
-        return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        rest = (self.prime_sums[end] - self.prime_sums[start]) % PRIME * self.prime_down[start] % PRIME
+        return mix(mix(raw + rest * np.uint64(0x9FB21C651E98DF25)) + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 #: Everything of ASCII but letters and digits parts words; bytes of other characters are letters.

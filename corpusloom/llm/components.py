@@ -1,4 +1,6 @@
-"""Connected components of an edge table, by large-star and small-star rounds of DataFrame joins.
+"""Links within buckets of an LSH, and connected components of an edge table.
+
+Components come by large-star and small-star rounds of DataFrame joins.
 
 Labels end as the least id of each component. Each round joins edges with their
 nodes' least neighbours; the minimum is pre-aggregated before its shuffle and
@@ -9,9 +11,14 @@ the driver, only a count and a checksum per round.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.session import stage_table
+from corpusloom.session import arrow_batches, stage_table
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -54,23 +61,187 @@ def star_pairs(shared: DataFrame, label: str) -> DataFrame:
     return stage_table(shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), f"{label}-stars")
 
 
-def open_blocks(shared: DataFrame, links: DataFrame, label: str, block: int = 256) -> tuple[DataFrame, DataFrame]:
-    """What the star links leave open, dealt into blocks: ``(seekers, members)``, each ``key, i, j, id, c``.
+#: The hash sets of a list of payloads, as sorted arrays.
+Sets = Callable[[pa.Array], list[np.ndarray]]
+#: Standard errors below the threshold at which pairs of sketches are still compared by their sets (3 in a million are lost).
+SIGMAS = 4.5
+#: Payload bytes worked on together, and rows of an Arrow batch that holds payloads.
+PART_BYTES, PAYLOAD_ROWS = 1 << 20, 512
 
-    A bucket of three or more ids that holds several components may still hold
-    links. Its ids outside its most common component seek among all its ids.
-    Seekers of block i and members of block j meet under (key, i, j); a bucket
-    of at most ``block`` ids is one block. Buckets with the same ids count once.
-    """
+
+def _parts(column: pa.Array) -> Iterator[tuple[int, int]]:
+    size = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + PART_BYTES, "right")))
+        yield at, end
+        at = end
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches (rows of 16-bit registers, 0: nothing) may belong to near sets: up to ``SIGMAS`` standard errors below."""
+    t = percent / 100
+    some = ((a != 0) | (b != 0)).sum(-1)
+    same = ((a == b) & (a != 0)).sum(-1)
+    return same >= t * some - SIGMAS * np.sqrt(t * (1 - t) * some)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
+
+
+def likely_pairs(pairs: DataFrame, sketches: DataFrame, percent: int, label: str) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose sketches ``(id, q)`` are alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield batch.select(["a", "b"]).filter(pa.array(alike(_matrix(batch.column("x")), _matrix(batch.column("y")), percent)))
+
+    both = pairs.join(sketches.select(F.col("id").alias("a"), F.col("q").alias("x")), "a").join(sketches.select(F.col("id").alias("b"), F.col("q").alias("y")), "b")
+    return stage_table(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), label)
+
+
+def is_near(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    small, large = sorted((s, t), key=len)
+    if not len(small) or 100 * len(small) < percent * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    both = int((large[at] == small).sum())
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def _near_rows(sets: Sets, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in _parts(batch.column("y")):
+                part = batch.slice(i, j - i)
+                ok = [is_near(s, t, percent) for s, t in zip(sets(part.column("x")), sets(part.column("y")), strict=True)]
+                yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def confirmed(pairs: DataFrame, payload: DataFrame, sets: Sets, percent: int, label: str) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose sets, made of ``payload(id, p)``, are near."""
+    full = pairs.join(payload.select(F.col("id").alias("a"), F.col("p").alias("x")), "a").join(payload.select(F.col("id").alias("b"), F.col("p").alias("y")), "b")
+    with arrow_batches(pairs.sparkSession, PAYLOAD_ROWS):
+        return stage_table(full.select("a", "b", "x", "y").mapInArrow(_near_rows(sets, percent), "a long, b long"), label)
+
+
+class _Row:
+    """A row of a block; its set is made when it is first wanted."""
+
+    def __init__(self, one: int, part: int, payload: pa.Scalar, sets: Sets):
+        self.one, self.part, self.payload, self.sets, self.known = one, part, payload, sets, None
+
+    def members(self) -> np.ndarray:
+        if self.known is None:
+            self.known = self.sets(pa.array([self.payload.as_py()], self.payload.type))[0]
+        return self.known
+
+
+def seek(seekers: list[tuple[_Row, np.ndarray]], members: list[tuple[_Row, np.ndarray]], percent: int) -> tuple[list[int], list[int]]:
+    """Links of (row, sketch): of each seeker one to each component other than its own that holds a near member."""
+    a, b = [], []
+    if not members or not seekers:
+        return a, b
+    parts, sketches = np.array([r.part for r, _ in members]), np.stack([q for _, q in members])
+    step = max(1, 4096 // len(members))
+    for at in range(0, len(seekers), step):
+        some = seekers[at : at + step]
+        q = np.stack([q for _, q in some])
+        maybe = alike(sketches[None, :, :], q[:, None, :], percent) & (parts[None, :] != np.array([r.part for r, _ in some])[:, None])
+        met: set[tuple[int, int]] = set()
+        for i, k in np.argwhere(maybe).tolist():
+            row, part = some[i][0], int(parts[k])
+            if (i, part) not in met and is_near(row.members(), members[k][0].members(), percent):
+                met.add((i, part))
+        for i, part in sorted(met):
+            a.append(some[i][0].one)
+            b.append(part)
+    return a, b
+
+
+def _seek_rows(sets: Sets, percent: int):
+    """Links to components by ``seek`` in each (key, i, j); rows come sorted by those."""
+
+    def settle(held: list[tuple]) -> pa.RecordBatch:
+        of = {m: [(r, q) for r, member, q in held if member == m] for m in (False, True)}
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in seek(of[False], of[True], percent)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            sketches = _matrix(batch.column("q"))
+            for at, (k, x, y, one, c, member) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "id", "c", "member")), strict=True)):
+                if (k, x, y) != now:
+                    if held:
+                        yield settle(held)
+                    held, now = [], (k, x, y)
+                held.append((_Row(one, c, batch.column("p")[at], sets), member, sketches[at]))
+        if held:
+            yield settle(held)
+
+    return run
+
+
+def _tagged(rows: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """``key, id, c`` of ``rows(key, id)``: the component of each id."""
     found = connected_components(links, f"{label}-cc")
-    tagged = shared.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    tagged = stage_table(tagged, f"{label}-tagged")
+    tagged = rows.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
+    return stage_table(tagged.select("key", "id", F.coalesce("component", "id").alias("c")), f"{label}-tagged")
+
+
+def _still_open(tagged: DataFrame, label: str) -> DataFrame:
+    """``key, id, c, main, m, away`` of the buckets that hold several components, of equal buckets one.
+
+    ``main`` is a bucket's most common component, ``m`` counts its ids and
+    ``away`` those outside it.
+    """
     by_part = tagged.groupBy("key", "c").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"))
     by_key = by_part.groupBy("key").agg(F.sum("m").alias("m"), F.bit_xor("x").alias("x"), F.count("*").alias("parts"), F.max(F.struct("m", "c")).alias("main"))
     by_key = by_key.filter("m > 2 and parts > 1")
-    one = by_key.groupBy("m", "x").agg(F.min(F.struct("key", "main.c")).alias("one")).select("one.key", F.col("one.c").alias("main"), F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    rows = stage_table(tagged.join(one, "key").withColumn("own", F.pmod(F.hash("id"), F.col("blocks"))), f"{label}-open")
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    seekers = rows.filter("c <> main").select("key", F.col("own").alias("i"), each.alias("j"), "id", "c")
-    members = rows.select("key", each.alias("i"), F.col("own").alias("j"), "id", "c")
-    return seekers, members
+    one = by_key.groupBy("m", "x").agg(F.min(F.struct("key", "main")).alias("one"))
+    one = one.select("one.key", F.col("one.main.c").alias("main"), "m", (F.col("m") - F.col("one.main.m")).alias("away"))
+    return stage_table(tagged.join(one, "key"), f"{label}-open")
+
+
+def link_buckets(shared: DataFrame, pairs: DataFrame, payload: DataFrame, sketches: DataFrame, sets: Sets, percent: int, label: str, hubs: int = 4, block: int = 256) -> DataFrame:
+    """Links ``a, b`` that join the components of all near pairs which ``shared(key, id, hub)`` holds.
+
+    1. ``pairs(a, b)``: ids and the hubs of their buckets.
+    2. Where a bucket of three or more ids still holds several components, and
+       over an eighth of a ``block`` of ids outside its largest one, the least
+       ids of ``hubs`` of those are compared with the whole bucket. Rows grow
+       with the bucket's size, not its square.
+    3. The ids that are then still outside the largest component seek among all
+       ids of the bucket, in blocks of ``block`` seekers and ``block`` members,
+       and report one link to each other component. A bucket with few such ids
+       is one pass over it; pairs are never rows.
+
+    Sketches (see ``alike``) spare most comparisons of sets in 2 and 3.
+
+    A link's end may be the label of a component that holds a near id. Payloads
+    of the ids of ``pairs`` and of all buckets of three or more ids must be in
+    ``payload(id, p)``, their sketches in ``sketches(id, q)``.
+    """
+    links = confirmed(pairs, payload, sets, percent, f"{label}-links")
+    rows = _still_open(_tagged(shared, links, label), label)
+    least = rows.filter("c <> main").filter(F.col("away") > block // 8).groupBy("key", "c").agg(F.min("id").alias("a"))
+    chosen = least.groupBy("key", F.pmod(F.xxhash64("c"), F.lit(hubs)).alias("s")).agg(F.min(F.struct("a", "c")).alias("hub")).select("key", "hub.a", F.col("hub.c").alias("of"))
+    more = rows.join(chosen, "key").filter("c <> of").select("a", F.col("id").alias("b")).distinct()
+    more = likely_pairs(more, sketches, percent, f"{label}-likely-2")
+    links = links.unionByName(confirmed(more, payload, sets, percent, f"{label}-links-2"))
+    rows = _still_open(_tagged(rows, links, label), label)
+    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
+    rows = rows.withColumn("bi", blocks("away")).withColumn("bj", blocks("m"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    seekers = rows.filter("c <> main").select("key", F.pmod(F.hash("id"), F.col("bi")).alias("i"), each("bj").alias("j"), "id", "c", F.lit(False).alias("member"))
+    members = rows.select("key", each("bi").alias("i"), F.pmod(F.hash("id"), F.col("bj")).alias("j"), "id", "c", F.lit(True).alias("member"))
+    met = seekers.unionByName(members).join(payload.join(sketches, "id"), "id").select("key", "i", "j", "id", "c", "member", "p", "q")
+    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_seek_rows(sets, percent), "a long, b long")
+    with arrow_batches(shared.sparkSession, PAYLOAD_ROWS):
+        return links.unionByName(stage_table(met, f"{label}-links-3"))

@@ -11,15 +11,16 @@ least class of each bucket it falls into. Of these pairs the joint likelihood of
 the registers, the set sizes being known, estimates the similarity; pairs far
 below the threshold go, the others are confirmed on the full sets. Confirmed
 links are joined to components. Where a bucket still holds several components,
-the ids outside its largest one are compared by their full sets with the rest
-of the bucket, in blocks, so that no link a bucket holds is lost. Pairs of a
-block are never rows; a bucket that is one component makes none.
+further ids are compared with the whole bucket, and those that are then still
+apart seek in it in blocks (``components.link_buckets``), so that no link a
+bucket holds is lost. Pairs of a block are never rows.
 
 Only hashes, keys and the sets of candidate classes are shuffled.
 
 Defined results: a null or empty text, or one of white space, has an empty set
 and is linked with nothing. Rows without a doc_id are dropped. Repeated rows
-each return a row; rows that share a doc_id are one node. Columns other than
+each return a row; rows that share a doc_id are one node, with the links of all
+their texts. Columns other than
 ``doc_id`` and ``text`` are ignored. An empty table returns no row.
 """
 
@@ -29,19 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.llm.arrays import blocks, mix, shingle_hashes, text_bytes, word_hashes
 from corpusloom.llm.bitmap import maybe_in
-from corpusloom.llm.components import connected_components, open_blocks, shared_buckets, star_pairs
-from corpusloom.session import arrow_batches, stage_table
+from corpusloom.llm.components import connected_components, link_buckets, shared_buckets, star_pairs
+from corpusloom.session import stage_table
 
 BANDS, ROWS = 24, 5
 SKETCH_BASE, RATE, LIMIT = 1.001, 20.0, 65_534
 #: Pairs estimated this far below the threshold aren't verified: five standard errors of 120 registers at 0.8.
 SLACK = 0.19
-#: Rows of an Arrow batch that holds full sets.
-SET_ROWS = 256
 _ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _ADD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) ^ np.uint64(0x5DEECE66D))
 
@@ -95,15 +94,16 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return best_j
 
 
-SKETCH = "doc_id long, n long, fp binary, reg binary, bands array<long>"
+TEXT_KEY = ["doc_id", "th"]
+SKETCH = "doc_id long, th long, n long, fp binary, reg binary, bands array<long>"
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n`` (set size), ``fp`` (digest of the set), ``reg``, ``bands``; the last three null for empty sets."""
+    """``doc_id, th, n`` (set size), ``fp`` (digest of the set), ``reg``, ``bands`` of ``docs(doc_id, th, text)``; the last three null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, off = text_bytes(batch.column(1))
+            data, off = text_bytes(batch.column(2))
             n, fp, reg, bands = [], [], [], []
             for i, j in blocks(off):
                 for s in doc_sets(data[off[i] : off[j]], off[i : j + 1] - off[i], size):
@@ -116,15 +116,15 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
                     k = registers(s)
                     fp.append(np.array(two[:2], np.uint64).tobytes() + int(two[2]).to_bytes(4, "little")), reg.append(k.tobytes()), bands.append(band_keys(k).tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(reg, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "fp", "reg", "bands"],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(reg, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "th", "n", "fp", "reg", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null").mapInArrow(run, SKETCH)
+    return docs.select(*TEXT_KEY, "text").mapInArrow(run, SKETCH)
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``id, members``: the whole set of each row as sorted 64-bit hashes."""
+    """``id, p``: the whole set of each row as sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,12 +134,12 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
                 out += [s.tobytes() for s in doc_sets(data[off[i] : off[j]], off[i : j + 1] - off[i], size)]
                 if sum(map(len, out)) > 1 << 26:
                     done = j - len(out)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(out)), pa.array(out, pa.binary())], names=["id", "members"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(out)), pa.array(out, pa.binary())], names=["id", "p"])
                     out = []
             if out:
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(len(batch) - len(out)), pa.array(out, pa.binary())], names=["id", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(len(batch) - len(out)), pa.array(out, pa.binary())], names=["id", "p"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, members binary")
+    return docs.select("id", "text").mapInArrow(run, "id long, p binary")
 
 
 def _likely(least: float):
@@ -154,102 +154,58 @@ def _likely(least: float):
     return run
 
 
-def _confirmed(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                ok.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return run
-
-
-def _seek(percent: int):
-    """Links between the seekers and the members of each (key, i, j); rows come sorted by those."""
-
-    def settle(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        members = [(r[1], r[2], np.frombuffer(r[4], np.uint64)) for r in rows if r[3]]
-        seekers = [(r[1], r[2], np.frombuffer(r[4], np.uint64)) for r in rows if not r[3]]
-        if not members or not seekers:
-            return [], []
-        ids, parts = np.array([m[0] for m in members]), np.array([m[1] for m in members])
-        sizes = np.array([len(m[2]) for m in members])
-        owner, every = np.repeat(np.arange(len(members)), sizes), np.concatenate([m[2] for m in members])
-        a, b = [], []
-        for one, part, x in seekers:
-            at = np.minimum(np.searchsorted(x, every), len(x) - 1)
-            both = np.bincount(owner[x[at] == every], minlength=len(members))
-            near = (100 * both >= percent * (sizes + len(x) - both)) & (parts != part)
-            # one link to each component does
-            _, first = np.unique(parts[near], return_index=True)
-            a += [one] * len(first)
-            b += ids[near][first].tolist()
-        return a, b
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
-        for batch in batches:
-            for k, i, j, one, c, member, s in zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "id", "c", "member", "members")), strict=True):
-                if (k, i, j) != now:
-                    if held:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in settle(held)], names=["a", "b"])
-                    held, now = [], (k, i, j)
-                held.append((k, one, c, member, s))
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in settle(held)], names=["a", "b"])
-
-    return run
+def unpacked(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), np.uint64) for v in column]
 
 
 def find_links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links ``a, b`` of ``nodes(id, n, reg, bands)`` that join the components of all that the buckets hold."""
+    """Links ``a, b`` of ``nodes(id, doc_id, th, n, reg, bands)`` that join the components of all that the buckets hold."""
     shared = shared_buckets(nodes.select("id", F.explode("bands").alias("key")), "near")
-    pairs = star_pairs(shared, "near")
     side = lambda s: nodes.select(F.col("id").alias(s), F.col("reg").alias(f"reg_{s}"), F.col("n").alias(f"n_{s}"))
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "reg_a", "reg_b", "n_a", "n_b")
+    likely = star_pairs(shared, "near").join(side("a"), "a").join(side("b"), "b").select("a", "b", "reg_a", "reg_b", "n_a", "n_b")
     likely = stage_table(likely.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").mapInArrow(_likely(percent / 100 - SLACK), "a long, b long"), "near-likely")
     # ids of likely pairs, and of buckets of three or more, where links may be left open
     crowds = shared.groupBy("key").agg(F.count("*").alias("m")).filter("m > 2").select("key")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).unionByName(shared.join(crowds, "key", "left_semi").select("id")).distinct()
-    wanted = stage_table(wanted, "near-candidates")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = maybe_in(wanted, ["id"])(texts).join(wanted, "id").dropDuplicates(["id"])
+    wanted = stage_table(nodes.select("id", *TEXT_KEY).join(wanted, "id", "left_semi"), "near-candidates")
+    texts = maybe_in(wanted, TEXT_KEY)(docs).join(wanted, TEXT_KEY).dropDuplicates(["id"])
     sets = stage_table(full_sets(texts, size), "near-sets")
-    full = likely.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-    with arrow_batches(docs.sparkSession, SET_ROWS):
-        links = stage_table(full.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long"), "near-links")
-    seekers, members = open_blocks(shared, links, "near")
-    both = seekers.withColumn("member", F.lit(False)).unionByName(members.withColumn("member", F.lit(True))).join(sets, "id")
-    met = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_seek(percent), "a long, b long")
-    with arrow_batches(docs.sparkSession, SET_ROWS):
-        return links.unionByName(stage_table(met, "near-links-2"))
+    return link_buckets(shared, likely, sets, nodes.select("id", F.col("reg").alias("q")), unpacked, percent, "near")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row; links where 100 * intersection >= percent * union."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").filter("doc_id is not null")
     rows = stage_table(sketch(docs, size), "sketches")
-    classes = rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("id"))
-    member = rows.select("doc_id", "n", "fp").join(classes, "fp", "left")
-    nodes = rows.filter("n > 0").withColumnRenamed("doc_id", "id").join(classes, ["id", "fp"])
-    nodes = stage_table(nodes.select("id", "n", "reg", "bands").dropDuplicates(["id"]), "classes")
-    links = find_links(nodes, docs.select("doc_id", "text"), size, percent)
-    same = member.filter("id is not null").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    classes = rows.filter("n > 0").groupBy("fp").agg(F.min(F.struct(*TEXT_KEY)).alias("at")).select("fp", "at.*")
+    nodes = rows.join(classes, ["fp", *TEXT_KEY]).dropDuplicates(["fp"]).withColumn("id", F.monotonically_increasing_id())
+    nodes = stage_table(nodes.select("id", *TEXT_KEY, "n", "reg", "bands"), "classes")
+    links = find_links(nodes, docs, size, percent)
+    # from classes to their least doc_ids: rows of one doc_id are one node
+    end = lambda s: nodes.select(F.col("id").alias(s), F.col("doc_id").alias(f"doc_{s}"))
+    links = links.join(end("a"), "a").join(end("b"), "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+    same = rows.select("fp", F.col("doc_id").alias("b")).join(classes.select("fp", F.col("doc_id").alias("a")), "fp").select("a", "b")
     found = connected_components(links.unionByName(same), "components")
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component that of the least doc_id, once. Null ids stay."""
+    """The rows of ``docs`` that stay: of each component that of the least doc_id, once. Null ids stay.
+
+    Of several rows of that doc_id the one with the least text stays (ties: by a
+    hash of the whole row).
+    """
+    names = docs.columns
+    docs = docs.toDF(*[c if c in ("doc_id", "text") else f"extra {i}" for i, c in enumerate(names)])
     gone = stage_table(near_duplicates(docs, size, percent).filter("not kept").select("doc_id").distinct(), "near-gone")
     twice = stage_table(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "near-twice")
     hit = maybe_in(gone, ["doc_id"])
     rest = hit.drop(docs).unionByName(hit.keep(docs).join(gone, "doc_id", "left_anti").select(docs.columns))
     again = maybe_in(twice, ["doc_id"])
-    return again.drop(rest).unionByName(again.keep(rest).dropDuplicates(["doc_id"]))
+    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(F.to_json(F.struct("*"))))
+    once = again.keep(rest).withColumn("place", F.row_number().over(order)).filter("place = 1").drop("place")
+    return again.drop(rest).unionByName(once).toDF(*names)
 
 
 def op10_near_dup(spark, sf_dir):

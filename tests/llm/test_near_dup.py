@@ -88,3 +88,39 @@ def test_components(spark):
     got = {tuple(r) for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert got == {(i, 100) for i in range(101, 161)} | {(5, 3), (9, 3), (4, 3)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_of_one_doc_id_are_one_node(spark):
+    """Both texts of doc 2 count, in any order of the rows."""
+    a, b = [f"w{i}" for i in range(60)], [f"v{i}" for i in range(60)]
+    rows = [(1, " ".join(a)), (2, " ".join([*a, "x"])), (2, " ".join([*b, "y"])), (3, " ".join(b))]
+    for part in (rows, rows[::-1]):
+        got = {(r.doc_id, r.component_id, r.n_shingles) for r in N.near_duplicates(spark.createDataFrame(part, "doc_id long, text string"), 4).collect()}
+        assert got == {(1, 1, 57), (2, 1, 58), (3, 1, 57)}
+    kept = N.drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert [r.doc_id for r in kept] == [1]
+
+
+def test_structured_words_stay_apart(spark):
+    """Thue-Morse words and their complements, which collide under any polynomial hash modulo 2**64."""
+    t = "a"
+    while len(t) < 2048:
+        t += t.translate(str.maketrans("ab", "ba"))
+    rows = [(i, x) for i, x in enumerate(v for n in (512, 1024, 2048) for v in (t[:n], t[:n].translate(str.maketrans("ab", "ba"))))]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert all(r.kept for r in got) and len(got) == 6
+
+
+def test_estimate_keeps_pairs_at_the_threshold():
+    """Of pairs at a similarity of 0.8 the likelihood drops none."""
+    rng = np.random.default_rng(4)
+    lost = 0
+    for n in (8, 40, 400):
+        regs = []
+        for _ in range(1000):
+            every = rng.integers(0, 2**63, n + n // 4, dtype=np.uint64)
+            regs.append((N.registers(np.sort(every[:n])), N.registers(np.sort(every))))
+        a, b = np.stack([r[0] for r in regs]), np.stack([r[1] for r in regs])
+        est = N.estimate(a, b, np.full(len(a), float(n)), np.full(len(a), float(n + n // 4)))
+        lost += int((est < 0.8 - N.SLACK).sum())
+    assert lost == 0
