@@ -13,13 +13,16 @@ pairs.
 Defined results: a null text counts as empty (zero spans, digest of the empty
 string). Repeated rows each return a row. Whole texts are scanned, of any
 length. Columns other than ``doc_id`` and ``text`` are ignored, whatever their
-names. A null doc_id is kept as a row of its own. An empty table returns no row.
+names. Rows with a null doc_id return like others, links included. An empty
+table returns no row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.session import stage_table
+
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
@@ -28,20 +31,22 @@ ENDPOINT = r"https?://[A-Za-z0-9.-]+(?::[0-9]{2,5})?(?:/[A-Za-z0-9._/-]*)?"
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "lone", "endpoint")
 SCOPE = 400
+#: Matches whose places are summed in one run.
+CHUNK = 128
 
 
 def spans(text: Column, kind: str, pattern: str, least: int = 0, group: int = 0) -> Column:
     """``array<struct<start, kind_no, end>>`` of the pattern's matches; code points, end exclusive.
 
-    The pieces between matches and the matches alternate, so one running sum
-    of their lengths gives every position in a single pass.
+    The pieces between matches and the matches alternate, so running sums of
+    their lengths give every position.
     """
     p = F.lit(pattern)
     whole, wanted = F.regexp_extract_all(text, p, F.lit(0)), F.regexp_extract_all(text, p, F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     parts = F.arrays_zip(gaps.alias("gap"), F.transform(whole, lambda x: F.length(x)).alias("size"), F.transform(wanted, lambda x: F.length(x)).alias("want"))
     no = KINDS.index(kind)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
@@ -50,8 +55,17 @@ def spans(text: Column, kind: str, pattern: str, least: int = 0, group: int = 0)
         keep = x["size"].isNotNull() & (x["want"] >= least)
         return F.struct(end.alias("at"), F.when(keep, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
 
-    found = F.aggregate(parts, zero, step, lambda acc: acc["out"])
-    return F.when(F.size(whole) > 0, found).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    def places(parts):
+        # runs of CHUNK pieces are summed apart and then moved to their places: arrays that grow by one stay short
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / CHUNK).cast("int")), lambda i: F.slice(parts, i * CHUNK + 1, CHUNK))
+        return F.transform(runs, lambda run: F.aggregate(run, F.struct(F.lit(0).alias("at"), none.alias("out")), step))
+
+    def moved(sums):
+        offsets = F.aggregate(sums, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(sums, offsets, lambda x, o: F.transform(x["out"], lambda s: F.struct((s["start"] + o).alias("start"), s["kind"].alias("kind"), (s["end"] + o).alias("end")))))
+
+    once = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # binds a value, so that it is worked out once
+    return F.when(F.size(whole) > 0, once(once(parts, places), moved)).otherwise(none)
 
 
 def render(found: Column) -> Column:
@@ -88,18 +102,19 @@ def linked(parts: DataFrame, key: list[str], scope: int) -> DataFrame:
 def secret_scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Per row: ``doc_id``, ``base`` and ``added`` (arrays of start, kind number, end; see ``KINDS``)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", F.xxhash64(text).alias("_h"), text.alias("_t"))
+    base = docs.select("doc_id", text.alias("text"))
     kinds = [("assign", ASSIGN, 12, 1), ("access", ACCESS, 18, 0), ("hex", HEX, 16, 0), ("lone", LONE, 40, 0), ("endpoint", ENDPOINT, 0, 0)]
-    scanned = base.select("doc_id", "_h", *[spans(F.col("_t"), *k).alias(k[0]) for k in kinds])
-    strong = F.array_sort(F.concat(*BASE_KINDS))
+    key = ["h1", "h2"]  # two hashes of the text: what is linked depends on the text alone
+    scanned = base.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(11), "text").alias("h2"), *[spans(F.col("text"), *k).alias(k[0]) for k in kinds])
+    scanned = stage_table(scanned, "secret-spans")
     complementary = (F.size("lone") > 0) & (F.size("access") + F.size("endpoint") > 0) | (F.size("endpoint") > 0) & (F.size("access") + F.size("assign") > 0)
-    parts = scanned.filter(complementary).select("doc_id", "_h", F.explode(F.concat(*KINDS)).alias("s")).select("doc_id", "_h", "s.*").distinct()
-    added = linked(parts.filter(F.col("kind") != KINDS.index("hex")), ["doc_id", "_h"], scope)
-    added = added.groupBy("doc_id", "_h").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("added"))
-    rows = scanned.select("doc_id", "_h", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS], strong.alias("base"))
-    same = rows["doc_id"].eqNullSafe(added["doc_id"]) & (rows["_h"] == added["_h"])
+    some = scanned.filter(complementary).dropDuplicates(key)
+    parts = some.select(*key, F.explode(F.concat("assign", "access", "lone", "endpoint")).alias("s")).select(*key, "s.*")
+    added = linked(parts, key, scope)
+    added = added.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("added"))
+    rows = scanned.select("doc_id", *key, *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS], F.array_sort(F.concat(*BASE_KINDS)).alias("base"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return rows.join(added, same, "left").select(rows["doc_id"], *[f"n_{k}" for k in BASE_KINDS], "base", F.coalesce("added", empty).alias("added"))
+    return rows.join(added, key, "left").select("doc_id", *[f"n_{k}" for k in BASE_KINDS], "base", F.coalesce("added", empty).alias("added"))
 
 
 def op5_secret_scan(spark, sf_dir):

@@ -7,7 +7,8 @@ five letters up, two from ten) is determinised on demand: a word is read letter
 by letter and almost every word dies within its first few letters. Each hit is
 weighed by its window: a hit between quotation marks or near a reporting mark
 counts as quotation, another as abuse. A logistic model over the counts per
-document gives the score. Everything is fitted on a bounded sample of labelled
+document gives the score. Terms number ``MAX_TERMS`` at most and counts of hits
+are clipped at 3, which bounds the model. Everything is fitted on a bounded sample of labelled
 rows (``max_train``, by hash of the id); every text is scored whole.
 
 Defined results: a null or empty text has no hits and gets the score of a text
@@ -29,6 +30,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from corpusloom.session import stage_table
+
 MAX_TRAIN = 6_000
 WORD = re.compile(r"[^\W\d_]+(?:[@$!0134][^\W\d_]+)*")
 LEET = str.maketrans("@$!0134", "asioiea")
@@ -38,6 +41,8 @@ MIN_SUPPORT, MIN_ODDS, MAX_TERMS = 6, 2.8, 400
 PREFIX_LENGTHS = range(3, 9)
 WINDOW = 48
 N_FEATURES = 8
+#: What a worker remembers: words and the letters of the longest, moves of the automaton.
+KEPT_WORDS, KEPT_LETTERS, KEPT_MOVES = 60_000, 64, 60_000
 
 
 def normal(word: str) -> str:
@@ -76,7 +81,6 @@ class Automaton:
         self.start = self._close({(0, 0)})
         self.moves: dict[tuple[frozenset, str], tuple[frozenset, str | None]] = {}
         self.finals: dict[frozenset, tuple[str, int] | None] = {}
-        self.known: dict[str, tuple[str, int] | None] = {}
         self.raw: dict[str, tuple[str, int] | None] = {}
 
     def _close(self, states: set[tuple[int, int]]) -> frozenset:
@@ -106,19 +110,19 @@ class Automaton:
         return self._close(out), head
 
     def find(self, word: str) -> tuple[str, int] | None:
-        """The match of a word as it is written; words over 64 letters have none."""
+        """The match of a word as it is written; longer words than ``KEPT_LETTERS`` aren't remembered."""
         try:
             return self.raw[word]
         except KeyError:
-            if len(self.raw) > 200_000:
-                self.raw.clear()
-            found = self.raw[word] = self.match(normal(word)) if len(word) <= 64 else None
+            found = self.match(normal(word))
+            if len(word) <= KEPT_LETTERS:
+                if len(self.raw) >= KEPT_WORDS:
+                    self.raw.clear()
+                self.raw[word] = found
             return found
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its distance; ties: the longer, then the first term. None if none is in reach."""
-        if word in self.known:
-            return self.known[word]
         state, head = self.start, None
         for c in word:
             move = self.moves.get((state, c))
@@ -135,9 +139,8 @@ class Automaton:
         found = self.finals[state]
         if head and (found is None or found[1]):
             found = (head, 0)
-        if len(self.known) > 200_000 or len(self.moves) > 500_000:
-            self.known.clear(), self.moves.clear(), self.finals.clear()
-        self.known[word] = found
+        if len(self.moves) > KEPT_MOVES:
+            self.moves.clear(), self.finals.clear()
         return found
 
 
@@ -173,13 +176,23 @@ def features(text: str | None, auto: Automaton) -> list[float]:
     return [min(exact, 3), min(near, 3), min(heads, 3), min(said, 3), float(exact + near > 0), float(heads > 0), np.log1p(weight), min(1.0, 40 * weight / (words + 40) / 4)]
 
 
+def terms_of(text: str | None) -> set[str]:
+    """The words of a text in normal form, and their beginnings with ``*``."""
+    words = {normal(m.group()) for m in WORD.finditer(text or "")}
+    return words | {w[:n] + "*" for w in words for n in PREFIX_LENGTHS if len(w) >= n}
+
+
 def learn_terms(texts: list[str], labels: np.ndarray) -> dict[str, float]:
     """Terms (``x``) and beginnings (``x*``) with their log odds of toxic against other texts."""
     counts = (Counter(), Counter())
-    sizes = [max(1, int((labels == c).sum())) for c in (0, 1)]
     for text, y in zip(texts, labels, strict=True):
-        words = {normal(m.group()) for m in WORD.finditer(text or "")}
-        counts[y].update(words | {w[:n] + "*" for w in words for n in PREFIX_LENGTHS if len(w) >= n})
+        counts[y].update(terms_of(text))
+    return choose_terms(counts, [int((labels == c).sum()) for c in (0, 1)])
+
+
+def choose_terms(counts: tuple[Counter, Counter], sizes: list[int]) -> dict[str, float]:
+    """The lexicon, of the numbers of other and of toxic texts that hold each term."""
+    sizes = [max(1, n) for n in sizes]
     odds = {}
     for term, c in counts[1].items():
         if c >= MIN_SUPPORT:
@@ -233,22 +246,48 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, usable, max_train: int = MAX_TRAIN) -> Model:
-    """Fit on at most ``max_train`` labelled rows for which ``usable`` (a column) holds."""
-    rows = labels.filter("doc_id is not null and toxic is not null").filter(usable).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    texts = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").dropDuplicates(["doc_id"])
-    found = texts.orderBy("doc_id").select("text", "toxic").toPandas()
-    y = found["toxic"].to_numpy(int)
-    if len(set(y)) < 2:
+    """Fit on at most ``max_train`` labelled rows for which ``usable`` (a column) holds.
+
+    Of contradicting labels of an id the toxic one counts, of several texts the
+    least. Terms are counted and features taken in the executors: what reaches
+    the driver is counts of terms with some support, and features.
+    """
+    rows = labels.filter("doc_id is not null and toxic is not null").filter(usable).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train).withColumn("half", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)).cast("int"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").groupBy("doc_id", "toxic", "half").agg(F.min("text").alias("text"))
+    texts = stage_table(texts, "toxicity-train")
+    sizes = {(r.half, r.toxic): r["count"] for r in texts.groupBy("half", "toxic").count().collect()}
+    if len({y for _, y in sizes}) < 2:
         return Model({}, np.zeros(N_FEATURES + 1))
-    texts = list(found["text"])
-    half = np.arange(len(y)) % 2
+
+    @F.pandas_udf("array<string>")
+    def terms(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: sorted(terms_of(t)))
+
+    found = texts.select("half", "toxic", F.explode(terms("text")).alias("term")).groupBy("term").agg(
+        *[F.count_if((F.col("half") == h) & (F.col("toxic") == y)).alias(f"n{h}{y}") for h in (0, 1) for y in (0, 1)]
+    )
+    # a term's own support, and that of the stems it is held against, is at least 0.8 times MIN_SUPPORT
+    found = found.filter(F.col("n01") + F.col("n11") >= int(0.8 * MIN_SUPPORT)).toArrow()
+    names = found.column("term").to_pylist()
+    n = {(h, y): dict(zip(names, found.column(f"n{h}{y}").to_pylist(), strict=True)) for h in (0, 1) for y in (0, 1)}
+
+    def lexicon(halves: tuple[int, ...]) -> dict[str, float]:
+        counts = tuple(Counter({t: c for t in names if (c := sum(n[h, y][t] for h in halves))}) for y in (0, 1))
+        return choose_terms(counts, [sum(sizes.get((h, y), 0) for h in halves) for y in (0, 1)])
+
     # features of each half by terms of the other, so that a term's own texts don't vouch for it
-    x = np.zeros((len(y), N_FEATURES))
-    for side in (0, 1):
-        auto = Automaton(learn_terms([t for t, h in zip(texts, half, strict=True) if h != side], y[half != side]))
-        x[half == side] = [features(t, auto) for t, h in zip(texts, half, strict=True) if h == side]
-    return Model(learn_terms(texts, y), fit_logistic(x, y))
+    lexicons = {h: lexicon((1 - h,)) for h in (0, 1)}
+
+    @F.pandas_udf("array<double>")
+    def taken(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        autos = {h: Automaton(t) for h, t in lexicons.items()}
+        for texts, halves in batches:
+            yield pd.Series([features(t, autos[h]) for t, h in zip(texts, halves, strict=True)])
+
+    table = texts.select("doc_id", "toxic", taken("text", "half").alias("x")).orderBy("doc_id").toArrow()
+    x, y = np.array(table.column("x").to_pylist(), float), table.column("toxic").to_numpy().astype(int)
+    return Model(lexicon((0, 1)), fit_logistic(x, y))
 
 
 def score_documents(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
