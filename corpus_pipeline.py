@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm import decontaminate, line_dedup, near_dup, sentencepiece_codec, toxicity
+from corpusloom.llm.names import unused
 from corpusloom.session import stage_table
 
 #: SQL can't express the stages; tests/llm compare them with brute force.
@@ -20,8 +21,9 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at or above the threshold go."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~toxicity.held_out())
-    scored = toxicity.score_documents(docs, model, "_toxicity_score")
-    return scored.filter(F.col("_toxicity_score") < toxicity.THRESHOLD).select(docs.columns)
+    score = unused(docs.columns, "toxicity_score")
+    scored = toxicity.score_documents(docs, model, score)
+    return scored.filter(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
