@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from corpusloom.llm.bitmap import maybe_in
 from corpusloom.session import arrow_batches, stage_table
 
 
@@ -54,7 +55,8 @@ def connected_components(edges: DataFrame, label: str = "cc", max_rounds: int =
 def shared_buckets(bands: DataFrame, label: str) -> DataFrame:
     """``key, id, hub`` of the buckets of ``bands(id, key)`` with several ids; the hub is the least."""
     hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
-    return stage_table(bands.join(hubs, "key").select("key", "id", "hub"), f"{label}-buckets")
+    hubs = stage_table(hubs, f"{label}-hubs")
+    return stage_table(maybe_in(hubs, ["key"], KEY_WORDS)(bands).join(hubs, "key").select("key", "id", "hub"), f"{label}-buckets")
 
 
 def star_pairs(shared: DataFrame, label: str) -> DataFrame:
@@ -63,6 +65,8 @@ def star_pairs(shared: DataFrame, label: str) -> DataFrame:
 
 #: The hash sets of a list of payloads, as sorted arrays.
 Sets = Callable[[pa.Array], list[np.ndarray]]
+#: 64-bit words of the bitmap of shared keys: 2 MB.
+KEY_WORDS = 1 << 18
 #: Standard errors below the threshold at which pairs of sketches are still compared by their sets (3 in a million are lost).
 SIGMAS = 4.5
 #: Payload bytes worked on together, and rows of an Arrow batch that holds payloads.
@@ -79,24 +83,24 @@ def _parts(column: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches (rows of 16-bit registers, 0: nothing) may belong to near sets: up to ``SIGMAS`` standard errors below."""
+    """Whether sketches (rows of registers, 0: nothing) may belong to near sets: up to ``SIGMAS`` standard errors below."""
     t = percent / 100
     some = ((a != 0) | (b != 0)).sum(-1)
     same = ((a == b) & (a != 0)).sum(-1)
     return same >= t * some - SIGMAS * np.sqrt(t * (1 - t) * some)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
+def _matrix(column: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def likely_pairs(pairs: DataFrame, sketches: DataFrame, percent: int, label: str) -> DataFrame:
-    """The rows of ``pairs(a, b)`` whose sketches ``(id, q)`` are alike."""
+def likely_pairs(pairs: DataFrame, sketches: DataFrame, kind: type, percent: int, label: str) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose sketches ``(id, q)``, registers of a numpy ``kind``, are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                yield batch.select(["a", "b"]).filter(pa.array(alike(_matrix(batch.column("x")), _matrix(batch.column("y")), percent)))
+                yield batch.select(["a", "b"]).filter(pa.array(alike(_matrix(batch.column("x"), kind), _matrix(batch.column("y"), kind), percent)))
 
     both = pairs.join(sketches.select(F.col("id").alias("a"), F.col("q").alias("x")), "a").join(sketches.select(F.col("id").alias("b"), F.col("q").alias("y")), "b")
     return stage_table(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), label)
@@ -141,49 +145,66 @@ class _Row:
         return self.known
 
 
-def seek(seekers: list[tuple[_Row, np.ndarray]], members: list[tuple[_Row, np.ndarray]], percent: int) -> tuple[list[int], list[int]]:
-    """Links of (row, sketch): of each seeker one to each component other than its own that holds a near member."""
-    a, b = [], []
+Block = list[tuple[_Row, np.ndarray]]
+
+
+def _alike_in(seekers: Block, members: Block, percent: int) -> Iterator[tuple[int, int]]:
+    """Places of the seekers and the members of other components whose sketches are alike."""
     if not members or not seekers:
-        return a, b
+        return
     parts, sketches = np.array([r.part for r, _ in members]), np.stack([q for _, q in members])
     step = max(1, 4096 // len(members))
     for at in range(0, len(seekers), step):
         some = seekers[at : at + step]
         q = np.stack([q for _, q in some])
         maybe = alike(sketches[None, :, :], q[:, None, :], percent) & (parts[None, :] != np.array([r.part for r, _ in some])[:, None])
-        met: set[tuple[int, int]] = set()
         for i, k in np.argwhere(maybe).tolist():
-            row, part = some[i][0], int(parts[k])
-            if (i, part) not in met and is_near(row.members(), members[k][0].members(), percent):
-                met.add((i, part))
-        for i, part in sorted(met):
-            a.append(some[i][0].one)
-            b.append(part)
-    return a, b
+            yield at + i, k
+
+
+def promising(seekers: Block, members: Block, percent: int) -> tuple[list[int], list[int], list[bool]]:
+    """``id, c, member`` of the rows that are alike with one on the other side."""
+    found: set[tuple[int, int, bool]] = set()
+    for i, k in _alike_in(seekers, members, percent):
+        found |= {(seekers[i][0].one, seekers[i][0].part, False), (members[k][0].one, members[k][0].part, True)}
+    return tuple(map(list, zip(*sorted(found), strict=True))) or ([], [], [])
+
+
+def seek(seekers: Block, members: Block, percent: int) -> tuple[list[int], list[int]]:
+    """Links: of each seeker one to each component other than its own that holds a near member."""
+    met: set[tuple[int, int]] = set()
+    for i, k in _alike_in(seekers, members, percent):
+        row, part = seekers[i][0], members[k][0].part
+        if (row.one, part) not in met and is_near(row.members(), members[k][0].members(), percent):
+            met.add((row.one, part))
+    return tuple(map(list, zip(*sorted(met), strict=True))) or ([], [])
 
 
-def _seek_rows(sets: Sets, percent: int):
-    """Links to components by ``seek`` in each (key, i, j); rows come sorted by those."""
+def _block_rows(f: Callable, names: list[str], kinds: list[pa.DataType], keyed: bool, kind: type, percent: int, sets: Sets | None = None):
+    """``f`` of the seekers and the members of each (key, i, j), before which stand those if ``keyed``; rows come sorted by those."""
 
-    def settle(held: list[tuple]) -> pa.RecordBatch:
+    def settle(held: list[tuple], now: tuple) -> pa.RecordBatch:
         of = {m: [(r, q) for r, member, q in held if member == m] for m in (False, True)}
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in seek(of[False], of[True], percent)], names=["a", "b"])
+        out = f(of[False], of[True], percent)
+        columns = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+        if keyed:
+            columns = [pa.array([v] * len(out[0]), k) for v, k in zip(now, (pa.int64(), pa.int32(), pa.int32()), strict=True)] + columns
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
         for batch in batches:
             if not len(batch):
                 continue
-            sketches = _matrix(batch.column("q"))
+            sketches = _matrix(batch.column("q"), kind)
             for at, (k, x, y, one, c, member) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "id", "c", "member")), strict=True)):
                 if (k, x, y) != now:
                     if held:
-                        yield settle(held)
+                        yield settle(held, now)
                     held, now = [], (k, x, y)
-                held.append((_Row(one, c, batch.column("p")[at], sets), member, sketches[at]))
+                held.append((_Row(one, c, sets and batch.column("p")[at], sets), member, sketches[at]))
         if held:
-            yield settle(held)
+            yield settle(held, now)
 
     return run
 
@@ -209,7 +230,7 @@ def _still_open(tagged: DataFrame, label: str) -> DataFrame:
     return stage_table(tagged.join(one, "key"), f"{label}-open")
 
 
-def link_buckets(shared: DataFrame, pairs: DataFrame, payload: DataFrame, sketches: DataFrame, sets: Sets, percent: int, label: str, hubs: int = 4, block: int = 256) -> DataFrame:
+def link_buckets(shared: DataFrame, pairs: DataFrame, payload: DataFrame, sketches: DataFrame, kind: type, sets: Sets, percent: int, label: str, hubs: int = 4, block: int = 256) -> DataFrame:
     """Links ``a, b`` that join the components of all near pairs which ``shared(key, id, hub)`` holds.
 
     1. ``pairs(a, b)``: ids and the hubs of their buckets.
@@ -226,14 +247,15 @@ def link_buckets(shared: DataFrame, pairs: DataFrame, payload: DataFrame, sketch
 
     A link's end may be the label of a component that holds a near id. Payloads
     of the ids of ``pairs`` and of all buckets of three or more ids must be in
-    ``payload(id, p)``, their sketches in ``sketches(id, q)``.
+    ``payload(id, p)``, their sketches in ``sketches(id, q)``,
+    registers of a numpy ``kind``.
     """
     links = confirmed(pairs, payload, sets, percent, f"{label}-links")
     rows = _still_open(_tagged(shared, links, label), label)
     least = rows.filter("c <> main").filter(F.col("away") > block // 8).groupBy("key", "c").agg(F.min("id").alias("a"))
     chosen = least.groupBy("key", F.pmod(F.xxhash64("c"), F.lit(hubs)).alias("s")).agg(F.min(F.struct("a", "c")).alias("hub")).select("key", "hub.a", F.col("hub.c").alias("of"))
     more = rows.join(chosen, "key").filter("c <> of").select("a", F.col("id").alias("b")).distinct()
-    more = likely_pairs(more, sketches, percent, f"{label}-likely-2")
+    more = likely_pairs(more, sketches, kind, percent, f"{label}-likely-2")
     links = links.unionByName(confirmed(more, payload, sets, percent, f"{label}-links-2"))
     rows = _still_open(_tagged(rows, links, label), label)
     blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
@@ -241,7 +263,13 @@ def link_buckets(shared: DataFrame, pairs: DataFrame, payload: DataFrame, sketch
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     seekers = rows.filter("c <> main").select("key", F.pmod(F.hash("id"), F.col("bi")).alias("i"), each("bj").alias("j"), "id", "c", F.lit(False).alias("member"))
     members = rows.select("key", each("bi").alias("i"), F.pmod(F.hash("id"), F.col("bj")).alias("j"), "id", "c", F.lit(True).alias("member"))
-    met = seekers.unionByName(members).join(payload.join(sketches, "id"), "id").select("key", "i", "j", "id", "c", "member", "p", "q")
-    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_seek_rows(sets, percent), "a long, b long")
+    at = ["key", "i", "j"]
+    dealt = lambda rows: rows.repartition(*at).sortWithinPartitions(*at)
     with arrow_batches(shared.sparkSession, PAYLOAD_ROWS):
+        # first by the sketches alone, so that payloads of few rows are dealt out
+        some = dealt(seekers.unionByName(members).join(sketches, "id").select(*at, "id", "c", "member", "q"))
+        names, kinds = [*at, "id", "c", "member"], [pa.int64(), pa.int64(), pa.bool_()]
+        some = stage_table(some.mapInArrow(_block_rows(promising, names, kinds, True, kind, percent), "key long, i int, j int, id long, c long, member boolean"), f"{label}-promising")
+        met = dealt(some.join(sketches, "id").join(payload, "id").select(*at, "id", "c", "member", "q", "p"))
+        met = met.mapInArrow(_block_rows(seek, ["a", "b"], [pa.int64()] * 2, False, kind, percent, sets), "a long, b long")
         return links.unionByName(stage_table(met, f"{label}-links-3"))

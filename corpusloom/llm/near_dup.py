@@ -170,7 +170,7 @@ def find_links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     wanted = stage_table(nodes.select("id", *TEXT_KEY).join(wanted, "id", "left_semi"), "near-candidates")
     texts = maybe_in(wanted, TEXT_KEY)(docs).join(wanted, TEXT_KEY).dropDuplicates(["id"])
     sets = stage_table(full_sets(texts, size), "near-sets")
-    return link_buckets(shared, likely, sets, nodes.select("id", F.col("reg").alias("q")), unpacked, percent, "near")
+    return link_buckets(shared, likely, sets, nodes.select("id", F.col("reg").alias("q")), np.uint16, unpacked, percent, "near")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -42,7 +42,7 @@ PREFIX_LENGTHS = range(3, 9)
 WINDOW = 48
 N_FEATURES = 8
 #: What a worker remembers: words and the letters of the longest, moves of the automaton.
-KEPT_WORDS, KEPT_LETTERS, KEPT_MOVES = 60_000, 64, 60_000
+KEPT_WORDS, KEPT_LETTERS, KEPT_MOVES = 200_000, 64, 150_000
 
 
 def normal(word: str) -> str:
