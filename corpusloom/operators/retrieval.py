@@ -48,7 +48,8 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, id_col: str = "chunk_id", t
 def top_k(scores: DataFrame, k: int, query_id: str = "query_id", id_col: str = "chunk_id") -> DataFrame:
     """Best k per query with a 0-based rank; ties to the smaller id (W1). F14: non-positive scores are left out by callers."""
     w = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(id_col))
-    return scores.withColumn("rank0", F.row_number().over(w) - 1).filter(F.col("rank0") < k)
+    # the filter on the bare row number becomes a group limit, which cuts each partition before the shuffle
+    return scores.withColumn("rank0", F.row_number().over(w)).filter(F.col("rank0") <= k).withColumn("rank0", F.col("rank0") - 1)
 
 
 def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int = 20, **names: str) -> DataFrame:
@@ -84,7 +85,7 @@ def fuse(arms: DataFrame, weights: dict[str, float], top_n: int = 40, query_id:
     part = arms.withColumn("w", pick(weights) / (F.col("rank0") + RRF_K)).withColumn("seen", F.struct(pick(order).alias("arm"), F.col("rank0")))
     fused = part.groupBy(query_id, id_col).agg(F.round(F.sum("w"), 9).alias("score"), F.min("seen").alias("seen"))
     w = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc("seen"), F.asc(id_col))
-    return fused.withColumn("rank0", F.row_number().over(w) - 1).filter(F.col("rank0") < top_n).select(query_id, id_col, "score", "rank0")
+    return fused.withColumn("rank0", F.row_number().over(w)).filter(F.col("rank0") <= top_n).select(query_id, id_col, "score", (F.col("rank0") - 1).alias("rank0"))
 
 
 def append_unseen(first: DataFrame, second: DataFrame, query_id: str = "query_id", id_col: str = "chunk_id") -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import corpus, evaluation, relational, search
+from corpusloom.plans import corpus, evaluation, records, relational, search
 
-_PARTS = (corpus, relational, search, evaluation)
+_PARTS = (corpus, relational, search, evaluation, records)
 QUERIES = {name: q for part in _PARTS for name, q in part.Q.queries.items()}
 ORACLE_SQL = {name: sql for part in _PARTS for name, sql in part.Q.sql.items()}

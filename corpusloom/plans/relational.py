@@ -85,10 +85,10 @@ def semi_cascade(spark, sf):
     return table(spark, sf, "customer").join(orders, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@Q("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null)")
+@Q("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null and o_totalprice > 300000)")
 def anti_resume(spark, sf):
     """J4, K2."""
-    return R.not_done(table(spark, sf, "customer").select("c_custkey"), table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return R.not_done(table(spark, sf, "customer").select("c_custkey"), table(spark, sf, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @Q("""select o_orderkey, coalesce(c_name, '') as c_name, coalesce(n_name, '') as n_name, coalesce(r_name, '') as r_name from orders left join (select * from customer where c_custkey % 10 <> 3) on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey""")

@@ -16,7 +16,7 @@ _BM25 = f"""with t as (select doc_id as chunk_id, {_TOK.format('text')} as tk fr
 p as (select chunk_id, dl, term, count(*) as tf from (select chunk_id, dl, unnest(tk) as term from l) group by all), q as (select item_id as query_id, term, count(*) as qtf from (select item_id, unnest({_TOK.format('text')}) as term from benchmark) group by all),
 d as (select term, count(*) as df from p group by term), s as (select query_id, chunk_id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 6) as score from p join q using (term) join d using (term), g group by all),
 b as (select *, row_number() over (partition by query_id order by score desc, chunk_id) - 1 as rank0 from s where score > 0)"""
-_VEC = """vq as (select vec_id as query_id, embedding as e from embeddings where vec_id % 100 = 0), vs as (select query_id, vec_id as chunk_id, round(list_cosine_similarity(cast(embedding as double[]), cast(e as double[])), 6) as score from embeddings, vq),
+_VEC = """vq as (select vec_id as query_id, embedding as e from embeddings where vec_id % 20 = 0), vs as (select query_id, vec_id as chunk_id, round(list_cosine_similarity(cast(embedding as double[]), cast(e as double[])), 6) as score from embeddings, vq),
 v as (select *, row_number() over (partition by query_id order by score desc, chunk_id) - 1 as rank0 from vs)"""
 
 
@@ -34,7 +34,7 @@ def _bm25(spark, sf, k):
 
 def _vectors(spark, sf, k):
     v = table(spark, sf, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
-    return V.vector_top_k(v, v.filter("chunk_id % 100 = 0").select(F.col("chunk_id").alias("query_id"), "embedding"), k)
+    return V.vector_top_k(v, v.filter("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), "embedding"), k)
 
 
 @Q(_BM25.split(", q as")[0] + " select term, count(*) as df, cast(sum(tf) as bigint) as cf from p group by term")
@@ -55,12 +55,12 @@ def vector_topk(spark, sf):
     return _vectors(spark, sf, 40).withColumn("rank0", F.col("rank0").cast("long"))
 
 
-_ARMS = _BM25 + ", " + _VEC + ", arms as (select query_id, 'bm25' as arm, 0 as o, chunk_id, rank0 from b where rank0 < 40 union all select query_id // 100, 'documents', 1, chunk_id, rank0 from v where rank0 < 40)"
+_ARMS = _BM25 + ", " + _VEC + ", arms as (select query_id, 'bm25' as arm, 0 as o, chunk_id, rank0 from b where rank0 < 40 union all select query_id // 20, 'documents', 1, chunk_id, rank0 from v where rank0 < 40)"
 
 
 def _arms(spark, sf):
     a = _bm25(spark, sf, 40).select("query_id", F.lit("bm25").alias("arm"), "chunk_id", "rank0")
-    b = _vectors(spark, sf, 40).select((F.col("query_id") / 100).cast("long").alias("query_id"), F.lit("documents").alias("arm"), "chunk_id", "rank0")
+    b = _vectors(spark, sf, 40).select((F.col("query_id") / 20).cast("long").alias("query_id"), F.lit("documents").alias("arm"), "chunk_id", "rank0")
     return a.unionByName(b)
 
 

@@ -17,13 +17,13 @@ def write_jsonl(df: DataFrame, path: str, partitions: list[str] | None = None) -
     (writer.partitionBy(*partitions) if partitions else writer).json(path)
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
+def write_csv(df: DataFrame, path: str, columns: list[str], compression: str = "none") -> None:
     """K3: the named columns, all quoted."""
-    df.select(columns).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    df.select(columns).write.mode("overwrite").option("compression", compression).option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def write_upsert(source: DataFrame, path: str, keys: list[str], seq: str = "seq") -> None:
-    """K4, K5: merge into a Parquet table by way of a second folder, so that a lost run leaves the old table whole."""
+    """K4, K5: merge into a Parquet table by way of a second folder ``.next``. A run lost in the merge leaves the old table whole; one lost in the last step leaves the new one in ``.next``."""
     spark = source.sparkSession
     merged = upsert(spark.read.parquet(path), source, keys, seq) if exists(spark, path) else last_wins(source, keys, seq)
     staged = path.rstrip("/") + ".next"
@@ -37,7 +37,7 @@ def feedback_rows(df: DataFrame) -> DataFrame:
 
 
 def write_checked(df: DataFrame, path: str, checks: dict[str, Callable[[DataFrame], bool]]) -> None:
-    """K7: staged, checked, and only then put in place."""
+    """K7: staged, checked, and only then put in place; a run lost in the last step leaves the checked rows in ``.staged``."""
     spark = df.sparkSession
     staged = path.rstrip("/") + ".staged"
     df.write.mode("overwrite").parquet(staged)
