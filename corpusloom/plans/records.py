@@ -114,11 +114,11 @@ def name_filters(spark, sf):
         filters.not_repealed(url).alias("in_force"), P.wanted_category(pick(" mental health ", "FIELD OPERATIONS", "budget")).alias("category_ok"), P.in_courts(pick("ca7", "ca8", "")).alias("court_ok"))
 
 
-@Q("""select l_orderkey, l_linenumber, last_value(case when l_linenumber % 3 = 1 then l_comment end ignore nulls) over (partition by l_orderkey order by l_linenumber) as heading from (select l_orderkey, l_linenumber, l_returnflag as l_comment from lineitem)""")
+@Q("""select o_custkey, o_orderkey, last_value(case when o_orderkey % 3 = 1 then o_totalprice end ignore nulls) over (partition by o_custkey order by o_orderkey) as price from orders""")
 def forward_fill(spark, sf):
     """W5."""
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") % 3 == 1, F.col("l_returnflag")).alias("heading"))
-    return R.fill_forward(rows, "l_orderkey", "l_linenumber", ["heading"])
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderkey") % 3 == 1, F.col("o_totalprice")).alias("price"))
+    return R.fill_forward(rows, "o_custkey", "o_orderkey", ["price"])
 
 
 @Q("select count(*) as n from (select 1 from documents where length(coalesce(text, '')) < 5 limit 3)")
