@@ -42,20 +42,41 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there and lost executors lose nothing."""
+    """Write ``df`` to the shared folder and read it back: lineage ends there and lost executors lose nothing.
+
+    The shuffle files of the write go when it ends, as nothing reads them again; a
+    stage that is retried after that makes them anew.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete a table of ``stage_table`` that no later read needs."""
+    files = staged.inputFiles()
+    if not files:
+        return
+    folder = files[0].rsplit("/", 1)[0]
+    if folder.rsplit("/", 2)[1] != "stage":
+        raise ValueError(f"not a staged table: {folder}")
+    path = staged.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(staged.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for what runs inside: wide rows then stay within a worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """``key`` set to ``value`` for what runs inside."""
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def arrow_batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for what runs inside: wide rows then stay within a worker's memory."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
