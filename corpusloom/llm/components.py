@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.bitmap import maybe_in
-from corpusloom.session import arrow_batches, stage_table
+from corpusloom.session import arrow_batches, discard, stage_table
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -44,7 +44,8 @@ def connected_components(edges: DataFrame, label: str = "cc", max_rounds: int =
     edges = stage_table(edges, label)
     mark = None
     for _ in range(max_rounds):
-        edges = stage_table(_small_star(_large_star(edges)), label)
+        old, edges = edges, stage_table(_small_star(_large_star(edges)), label)
+        discard(old)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if tuple(now) == mark:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
