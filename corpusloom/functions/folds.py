@@ -211,43 +211,73 @@ def code_sections(text: str) -> list[tuple[str, str, str]]:
 _ARTICLE = re.compile(r"^(?:ARTICLE|Article)\s+([IVX]+)\.\s+(.+)$")
 _PART = re.compile(r"^(?:PART|Part)\s+([A-Z])\.\s+(.+)$")
 _RULE = re.compile(r"^(?:RULE|Rule)\s+(\d{1,4}[A-Z]?(?:\.[A-Z])?)\b\.?\s+(.+?)(?:\s+\([a-z]\))?$")
-_COMMENT = re.compile(r"^\s*Committee Comments?\b", re.I)
+_COMMENT = re.compile(r"Committee Comments?\b|Comment\b", re.I)
 
 
-def rule_document(text: str) -> list[dict]:
-    """One record per rule with the article and part it stands in, its body and its committee comments."""
+def rule_records(text: str) -> list[dict]:
+    """Headers of articles and parts, rules and committee comments in order, each with the place it stands in.
+
+    Lines are stripped, empty ones and page marks dropped. A rule's text starts
+    with its header; lines after an article or part header and before a rule are none's.
+    """
     place = {"article_number": None, "article_title": None, "part_letter": None, "part_title": None}
+    none = {"rule_number": None, "rule_title": None}
+    rule = none
     out: list[dict] = []
-    target = None
-    for line in text.split("\n"):
-        if re.match(r"^\[\s*PAGE\s+\d+\s*\]$", line.strip()):
+    held: list[str] | None = None
+
+    def add(kind: str, rule: dict, line: str) -> list[str]:
+        out.append(place | rule | {"content_type": kind, "lines": [line]})
+        return out[-1]["lines"]
+
+    for line in map(str.strip, text.split("\n")):
+        if not line or re.match(r"^\[\s*PAGE\s+\d+\s*\]$", line):
             continue
         if m := _ARTICLE.match(line):
             place = dict(zip(place, (m[1], m[2].strip(), None, None), strict=True))
-            target = None
+            add("article_header", none, line)
+            held = None
         elif m := _PART.match(line):
             place = place | {"part_letter": m[1], "part_title": m[2].strip()}
-            target = None
+            add("part_header", none, line)
+            held = None
         elif m := _RULE.match(line):
-            out.append(place | {"rule_number": m[1], "rule_title": m[2].strip(), "body": "", "comments": ""})
-            target = "body"
-        elif target:
+            rule = {"rule_number": m[1], "rule_title": m[2].strip()}
+            held = add("rule_text", rule, line)
+        elif held is not None:
             if _COMMENT.match(line):
-                target = "comments"
-            out[-1][target] += line + "\n"
+                held = add("committee_comment", rule, line)
+            else:
+                held.append(line)
     for r in out:
-        r["body"], r["comments"] = r["body"].strip(), r["comments"].strip()
+        r["text"] = "\n".join(r.pop("lines"))
+    return out
+
+
+def rule_document(text: str) -> list[dict]:
+    """One record per rule with the article and part it stands in, its body and its committee comments."""
+    out: list[dict] = []
+    for r in rule_records(text):
+        kind, lines = r.pop("content_type"), r.pop("text")
+        if kind == "rule_text":
+            out.append(r | {"body": "\n".join(lines.split("\n")[1:]), "comments": ""})
+        elif kind == "committee_comment":
+            out[-1]["comments"] = "\n".join(x for x in (out[-1]["comments"], lines) if x)
     return out
 
 
 def rule_split(body: str, least_parts: int = 3, least_chars: int = 1000) -> list[tuple[str, str]]:
-    """(letter, text) per lettered subsection of a long rule, its introduction before each; else the whole."""
+    """(letter, text) per lettered subsection of a long rule, its introduction before the first; else the whole.
+
+    Numbered items count towards ``least_parts`` but stay with their letter.
+    """
     marks = list(re.finditer(r"(?m)^\(([a-z])\)\s+", body))
-    if len(marks) < least_parts or len(body) <= least_chars:
+    items = re.findall(r"(?m)^\((?:[a-z]|[0-9]+)\)\s+", body)
+    if not marks or len(items) < least_parts or len(body) <= least_chars:
         return [("", body)]
-    intro = body[: marks[0].start()].strip()
     stops = [m.start() for m in marks[1:]] + [len(body)]
-    return [(m[1], f"{intro}\n{body[m.start():stop].strip()}".strip()) for m, stop in zip(marks, stops, strict=False)]
+    starts = [0] + [m.start() for m in marks[1:]]
+    return [(m[1], body[start:stop].strip()) for m, start, stop in zip(marks, starts, stops, strict=False)]
 
 
 def over_column(fold: Callable[[str], list[str]]):

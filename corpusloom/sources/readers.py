@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from corpusloom.functions.text import links
+from corpusloom.session import stage_table
 
 _S = T.StringType()
 
@@ -68,6 +72,31 @@ def frontier(pages: DataFrame, url: str, html: str, base: str, allowed: Column |
     return (found.filter(allowed) if allowed is not None else found).join(seen, "link", "left_anti")
 
 
+def crawl(fetch: Callable[[DataFrame], DataFrame], seeds: DataFrame, base: str, allowed: Column | None = None, max_rounds: int = 50, max_pages: int | None = None) -> DataFrame:
+    """Breadth-first from ``seeds(link)``: ``link, depth, html`` of every page reached, until nothing new is found.
+
+    ``fetch`` takes ``link`` rows and returns ``link, html`` of those it could get; ``allowed`` is a predicate on
+    ``link``. ``max_rounds`` bounds the depth, ``max_pages`` the visits, in order of depth and link. Each round is
+    written once and holds only its new links; a link that couldn't be fetched isn't tried again. Null seeds are left out.
+    """
+    level = stage_table(seeds.filter(F.col("link").isNotNull()).select("link").distinct(), "crawl-links")
+    visited, pages = level, []
+    left = max_pages
+    for depth in range(max_rounds):
+        if left is not None:
+            level = level.orderBy("link").limit(left)
+            left -= level.count()
+        got = stage_table(fetch(level).select("link", F.lit(depth).alias("depth"), "html"), "crawl-pages")
+        pages.append(got)
+        found = got.select(F.explode(links(F.col("html"), base)).alias("link")).distinct()
+        found = (found.filter(allowed) if allowed is not None else found).join(visited, "link", "left_anti")
+        level = stage_table(found, "crawl-links")
+        if level.isEmpty() or left == 0:
+            break
+        visited = visited.unionByName(level)
+    return functools.reduce(DataFrame.unionByName, pages)
+
+
 def manifest(df: DataFrame, column: str = "raw") -> DataFrame:
     """Nested rows ``[[[title, path, flag], category, subcategory], ...]`` of JSON text."""
     rows = F.from_json(F.col(column), T.ArrayType(T.ArrayType(_S)))

@@ -70,5 +70,6 @@ def test_rule_document_labels_and_comments():
     got = F.rule_document(text)
     assert [(r["rule_number"], r["part_letter"], r["body"], r["comments"]) for r in got] == [("401", "A", "body one", "Committee Comments\nsaid so"), ("402", "A", "body two", ""), ("403", "B", "body three", "")]
     long = "Intro.\n" + "".join(f"({c}) {'word ' * 100}\n" for c in "abc")
-    assert [x for x, _ in F.rule_split(long)] == ["a", "b", "c"] and all(t.startswith("Intro.") for _, t in F.rule_split(long))
+    assert [(x, t.startswith("Intro.")) for x, t in F.rule_split(long)] == [("a", True), ("b", False), ("c", False)]  # the introduction stands once
+    assert [r["content_type"] for r in F.rule_records(text)] == ["article_header", "part_header", "rule_text", "committee_comment", "rule_text", "part_header", "rule_text"]
     assert F.rule_split("short") == [("", "short")]
