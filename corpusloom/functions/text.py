@@ -110,11 +110,17 @@ def token_count(c: Column) -> Column:
 
 def token_windows(c: Column, width: int = 800, overlap: int = 75) -> Column:
     """Windows of ``width`` words, each starting ``width - overlap`` after the last; the final one may be short."""
-    tokens = F.filter(F.split(c, r"\s+"), lambda t: t != "")
-    n, step = F.size(tokens), width - overlap
-    count = F.when(n <= width, 1).otherwise(1 + F.ceil((n - width) / F.lit(step)))
-    windows = F.transform(F.sequence(F.lit(0), (count - 1).cast("int")), lambda i: F.array_join(F.slice(tokens, i * step + 1, width), " "))
-    return F.when(n > 0, windows).otherwise(F.array().cast("array<string>"))
+    step = width - overlap
+
+    def windows(tokens: Column) -> Column:
+        n = F.size(tokens)
+        count = F.when(n <= width, 1).otherwise(1 + F.ceil((n - width) / F.lit(step)))
+        cut = F.transform(F.sequence(F.lit(0), (count - 1).cast("int")), lambda i: F.array_join(F.slice(tokens, i * step + 1, width), " "))
+        return F.when(n > 0, cut).otherwise(F.array().cast("array<string>"))
+
+    # an array of one holds the words as a variable: they are split once, not once a window
+    words = F.filter(F.split(c, r"\s+"), lambda t: t != "")
+    return F.transform(F.array(words), windows)[0]
 
 
 def sentences(c: Column, lookahead: str = "") -> Column:

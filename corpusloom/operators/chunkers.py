@@ -24,9 +24,11 @@ class ChunkSpec:
     citation: str = "title"
     prefix: str = field(default="")
 
-    def pieces(self, text: str) -> list[tuple[str, str]]:
+    def pieces(self, text: str) -> list[tuple[str, str, str]]:
+        """(heading, body, tokens) of the chunks that are long enough."""
         parts = [(h, p) for h, body in self.sections(text) for p in self.split(body)]
-        return folds.merge_micro(parts) if self.merge else parts
+        sized = [(h, p, folds.count_tokens(p)) for h, p in (folds.merge_micro(parts) if self.merge else parts)]
+        return [(h, p, str(n)) for h, p, n in sized if n >= self.min_tokens]
 
 
 def caps_sections(text: str, longest: int = 59) -> list[tuple[str, str]]:
@@ -98,15 +100,14 @@ def chunk(entries: DataFrame, spec: ChunkSpec, seq: str | None = None) -> DataFr
         return F.coalesce(F.col(c).cast("string"), F.lit("")) if c in entries.columns else F.lit("")
 
     rows = keep_longest(entries, ["id"], "text", seq) if seq else entries
-    cut = folds.sections_over_column(spec.pieces, ("heading", "body"))
+    cut = folds.sections_over_column(spec.pieces, ("heading", "body", "tokens"))
     parts = rows.withColumn("_p", cut(spec.clean(F.coalesce("text", F.lit("")))))
-    parts = parts.withColumn("_p", F.filter("_p", lambda p: X.token_count(p["body"]) >= spec.min_tokens))
     out = parts.select("*", F.size("_p").alias("chunk_total"), F.posexplode("_p").alias("chunk_index", "_c"))
     header = X.join_header(*[has(c) for c in spec.header])
     return out.select(
         F.concat_ws("_", F.lit(spec.source), F.col("id"), F.lpad(F.col("chunk_index").cast("string"), 4, "0")).alias("chunk_id"), F.col("id").alias("parent_id"), "chunk_index", "chunk_total",
         F.col("_c.body").alias("text"), X.enriched(header, F.col("_c.heading"), F.col("_c.body")).alias("enriched_text"), F.lit(spec.source).alias("source"),
-        X.token_count(F.col("_c.body")).alias("token_count"), has(spec.citation).alias("display_citation"),
+        F.col("_c.tokens").cast("int").alias("token_count"), has(spec.citation).alias("display_citation"),
         F.map_from_arrays(F.array(*[F.lit(m) for m in (*spec.metadata, "section_heading_text")]), F.array(*[has(m) for m in spec.metadata], F.col("_c.heading"))).alias("metadata"),
         F.lit("").alias("chunked_at"),
     )

@@ -31,10 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where it is unset, a local one in local mode (tests), an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         known = spark.sparkContext.getCheckpointDir()
+        if not known and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = known or "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         if not known:
             spark.sparkContext.setCheckpointDir(found)

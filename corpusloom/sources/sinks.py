@@ -22,13 +22,45 @@ def write_csv(df: DataFrame, path: str, columns: list[str], compression: str = "
     df.select(columns).write.mode("overwrite").option("compression", compression).option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Folder ``staged`` becomes ``path`` by renames: at any moment the old or the new rows stand whole in one of ``path``, ``path.old`` and ``staged``.
+
+    ``recover`` ends what a lost run left half done. On stores where a rename copies, the same holds, only slower.
+    """
+    fs, at = _files(spark, path)
+    live, old, new = at(path), at(f"{path.rstrip('/')}.old"), at(staged)
+    fs.delete(old, True)
+    if fs.exists(live) and not fs.rename(live, old):
+        raise OSError(f"can't move {path} aside")
+    if not fs.rename(new, live):
+        raise OSError(f"can't put {staged} in place")
+    fs.delete(old, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """After a lost ``put_in_place``: where ``path`` is gone, the old table comes back; leftovers beside a live one go."""
+    fs, at = _files(spark, path)
+    live, old = at(path), at(f"{path.rstrip('/')}.old")
+    if fs.exists(old):
+        if fs.exists(live):
+            fs.delete(old, True)
+        elif not fs.rename(old, live):
+            raise OSError(f"can't bring back {path}")
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
 def write_upsert(source: DataFrame, path: str, keys: list[str], seq: str = "seq") -> None:
-    """K4, K5: merge into a Parquet table by way of a second folder ``.next``. A run lost in the merge leaves the old table whole; one lost in the last step leaves the new one in ``.next``."""
+    """K4, K5: merge into a Parquet table; a run lost at any step leaves the old or the new table whole (``put_in_place``)."""
     spark = source.sparkSession
+    recover(spark, path)
     merged = upsert(spark.read.parquet(path), source, keys, seq) if exists(spark, path) else last_wins(source, keys, seq)
     staged = path.rstrip("/") + ".next"
     merged.write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    put_in_place(spark, staged, path)
 
 
 def feedback_rows(df: DataFrame) -> DataFrame:
@@ -37,15 +69,16 @@ def feedback_rows(df: DataFrame) -> DataFrame:
 
 
 def write_checked(df: DataFrame, path: str, checks: dict[str, Callable[[DataFrame], bool]]) -> None:
-    """K7: staged, checked, and only then put in place; a run lost in the last step leaves the checked rows in ``.staged``."""
+    """K7: staged, checked, and only then put in place; a run lost at any step leaves the old or the new table whole."""
     spark = df.sparkSession
+    recover(spark, path)
     staged = path.rstrip("/") + ".staged"
     df.write.mode("overwrite").parquet(staged)
     found = spark.read.parquet(staged)
     failed = [name for name, check in checks.items() if not check(found)]
     if failed:
         raise ValueError(f"checks failed: {', '.join(failed)}")
-    found.write.mode("overwrite").parquet(path)
+    put_in_place(spark, staged, path)
 
 
 def write_report(metrics: DataFrame, path: str) -> None:
