@@ -78,10 +78,29 @@ class Automaton:
                 self.head[node] = term
             else:
                 self.end[node] = (term, most)
-        self.start = self._close({(0, 0)})
-        self.moves: dict[tuple[frozenset, str], tuple[frozenset, str | None]] = {}
-        self.finals: dict[frozenset, tuple[str, int] | None] = {}
-        self.raw: dict[str, tuple[str, int] | None] = {}
+        self.none: set[str] = set()  # words seen, without and with a match
+        self.some: dict[str, tuple[str, int]] = {}
+        self._reset()
+
+    def _reset(self) -> None:
+        """Forget all states but the first and the dead one. A state is kept once, under its number."""
+        self.numbers: dict[frozenset, int] = {}
+        self.sets: list[frozenset] = []
+        self.moves: list[dict[str, tuple[int, str | None]]] = []
+        self.finals: list[tuple[str, int] | None] = []
+        self.made = 0
+        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.dead = self._number(set())
+        self.start = self._number({(0, 0)})
+
+    def _number(self, states: set[tuple[int, int]]) -> int:
+        closed = self._close(states)
+        at = self.numbers.setdefault(closed, len(self.sets))
+        if at == len(self.sets):
+            ends = [(used, -len(self.end[node][0]), self.end[node][0]) for node, used in closed if self.end[node] and used <= self.end[node][1]]
+            best = min(ends, default=None)
+            self.sets.append(closed), self.moves.append({}), self.finals.append(best and (best[2], best[0]))
+        return at
 
     def _close(self, states: set[tuple[int, int]]) -> frozenset:
         todo, seen = list(states), set(states)
@@ -94,11 +113,11 @@ class Automaton:
         least: dict[int, int] = {}
         for node, used in seen:
             least[node] = min(used, least.get(node, 9))
-        return frozenset(least.items())
+        return frozenset(self.pairs.setdefault(s, s) for s in least.items())
 
-    def _move(self, state: frozenset, c: str) -> tuple[frozenset, str | None]:
+    def _move(self, state: int, c: str) -> tuple[int, str | None]:
         out, head = set(), None
-        for node, used in state:
+        for node, used in self.sets[state]:
             if used < self.reach[node]:
                 out.add((node, used + 1))  # a letter too many
             for letter, child in self.next[node].items():
@@ -107,40 +126,41 @@ class Automaton:
                     out.add((child, cost))
                     if cost == 0 and self.head[child]:
                         head = self.head[child]
-        return self._close(out), head
-
-    def find(self, word: str) -> tuple[str, int] | None:
-        """The match of a word as it is written; longer words than ``KEPT_LETTERS`` aren't remembered."""
-        try:
-            return self.raw[word]
-        except KeyError:
-            found = self.match(normal(word))
-            if len(word) <= KEPT_LETTERS:
-                if len(self.raw) >= KEPT_WORDS:
-                    self.raw.clear()
-                self.raw[word] = found
-            return found
+        move = self.moves[state][c] = self._number(out), head
+        self.made += 1
+        return move
+
+    def known(self, words: set[str]) -> dict[str, tuple[str, int]]:
+        """The matches of words as they are written; longer ones than ``KEPT_LETTERS`` aren't remembered."""
+        found = {}
+        for word in words.difference(self.none):
+            hit = self.some.get(word)
+            if hit is None:
+                hit = self.match(normal(word))
+                if len(word) <= KEPT_LETTERS:
+                    if len(self.none) + len(self.some) >= KEPT_WORDS:
+                        self.none.clear(), self.some.clear()
+                    if hit:
+                        self.some[word] = hit
+                    else:
+                        self.none.add(word)
+            if hit:
+                found[word] = hit
+        return found
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its distance; ties: the longer, then the first term. None if none is in reach."""
-        state, head = self.start, None
+        if self.made > KEPT_MOVES:
+            self._reset()
+        state, head, moves, dead = self.start, None, self.moves, self.dead
         for c in word:
-            move = self.moves.get((state, c))
-            if move is None:
-                move = self.moves[state, c] = self._move(state, c)
-            state, at = move
+            state, at = moves[state].get(c) or self._move(state, c)
             head = at or head
-            if not state:
+            if state == dead:
                 break
-        if state not in self.finals:
-            ends = [(used, -len(self.end[node][0]), self.end[node][0]) for node, used in state if self.end[node] and used <= self.end[node][1]]
-            best = min(ends, default=None)
-            self.finals[state] = best and (best[2], best[0])
         found = self.finals[state]
         if head and (found is None or found[1]):
             found = (head, 0)
-        if len(self.moves) > KEPT_MOVES:
-            self.moves.clear(), self.finals.clear()
         return found
 
 
@@ -152,7 +172,7 @@ def quoted(text: str, start: int, end: int) -> bool:
 
 def hits(text: str | None, auto: Automaton) -> list[tuple[int, int, str, int, bool]]:
     """Spans of lexicon hits: start, end, term, edits, quoted."""
-    known = {word: hit for word in set(WORD.findall(text or "")) if (hit := auto.find(word))}
+    known = auto.known(set(WORD.findall(text or "")))
     if not known:
         return []
     return [(m.start(), m.end(), *known[m.group()], quoted(text, m.start(), m.end())) for m in WORD.finditer(text) if m.group() in known]
