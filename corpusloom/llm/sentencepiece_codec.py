@@ -12,8 +12,9 @@ a worker doesn't know are encoded in multithreaded batches of the tokenizers
 library and kept in a table of bounded size: two generations, the older of which
 goes when the younger is full, by number and by characters. Longer segments than
 ``KEPT_CHARS`` aren't kept. The ids returned are always the tokenizers library's.
-The sentencepiece library encodes each new segment too; rows with a segment on
-which the two differ have ``parity`` false. The rebuilt decoder turns each
+New segments of a BPE model go through the libraries joined to longer texts, which
+part at the markers. The sentencepiece library encodes each new segment too; rows
+with a segment on which the two differ have ``parity`` false. The rebuilt decoder turns each
 segment's ids into text again; a row's texts, put together, are compared with the
 row's own. A model without that property is encoded, verified and decoded by rows.
 
@@ -48,6 +49,8 @@ UNIGRAM, BPE = 1, 2
 KEPT_SEGMENTS, KEPT_TEXT, KEPT_CHARS = 150_000, 3_000_000, 64
 #: Threads of the tokenizers library in a worker; rows, new segments and characters encoded together.
 THREADS, ROWS, SEGMENTS, PART_BYTES = 2, 256, 4096, 1 << 20
+#: New segments that are encoded as one text.
+JOINED = 64
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -200,12 +203,14 @@ class Codec:
         self.normalise = self._plain if plain else normaliser(self.spec).normalize_str
         if self.local:  # texts are normalised before they are cut
             self.tokenizer.normalizer = normalizers.Sequence([])
+        self.marked = np.array([p.startswith(MARK) for p, _, _ in self.spec.pieces])
         self.spec.pieces = [p for p in self.spec.pieces if p[2] != NORMAL]
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.kept = kept_segments
         self.young: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
         self.old: dict[str, bytes] = {}
         self.held = 0
+        self.long: list[str] = []  # segments of the rows at hand that aren't kept
         self.differ: set[str] = set()  # segments on which the libraries differ
         self.unlike: dict[str, str] = {}  # segments that decode to another text
 
@@ -220,43 +225,65 @@ class Codec:
             want[segments.index(MARK)] = [self.reference.piece_to_id(MARK)]
         return want
 
-    def _learn(self, segments: list[str]) -> dict[str, bytes]:
-        known = {}
+    def _learn(self, segments: list[str]) -> None:
+        """Segments with one marker, their first character, go through both libraries put together: their ids part at the pieces with a marker."""
+        each = segments
+        if self.spec.model_type == BPE:
+            each, simple = [], []
+            for s in segments:
+                (simple if len(s) > 1 and s.rfind(MARK) == 0 else each).append(s)
+            for part in parts(simple, SEGMENTS):
+                each += self._learn_joined([part[i : i + JOINED] for i in range(0, len(part), JOINED)])
+        self._learn_each(each)
+
+    def _learn_joined(self, groups: list[list[str]]) -> list[str]:
+        """Learns all groups on which the libraries agree and which decode to themselves; returns the segments of the others."""
+        whole = ["".join(g) for g in groups]
+        plain = [t.replace(MARK, " ") for t in whole]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+        want = self._ask(whole)
+        left = []
+        for g, ids, ref, back, own in zip(groups, got, want, self.tokenizer.decode_batch(got, skip_special_tokens=True), plain, strict=True):
+            flat = np.array(ids, "<i4")
+            cut = (4 * np.flatnonzero(self.marked[flat])).tolist()
+            if ids != ref or back != own or len(cut) != len(g):
+                left += g
+                continue
+            data = flat.tobytes()
+            self.young.update(zip(g, [data[a:b] for a, b in zip(cut, [*cut[1:], len(data)], strict=True)], strict=True))
+        return left
+
+    def _learn_each(self, segments: list[str]) -> None:
         for part in parts(segments, SEGMENTS):
             got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            for s, x, y in zip(part, got, self._ask(part), strict=True):
-                if x != y:
-                    self.differ.add(s)
-            for s, text in zip(part, self.tokenizer.decode_batch(got, skip_special_tokens=True), strict=True):
-                if text != s.replace(MARK, " "):
-                    self.unlike[s] = text
-            known.update(zip(part, map(_pack, got), strict=True))
-        return known
-
-    def _ids_of(self, segments: set[str]) -> dict[str, bytes]:
-        """Ids of all ``segments``, known or learned now."""
-        found, new, young, old = {}, [], self.young, self.old
-        for s in segments:
-            ids = young.get(s)
+            want = self._ask(part)
+            if got != want:
+                self.differ.update(s for s, x, y in zip(part, got, want, strict=True) if x != y)
+            back, own = self.tokenizer.decode_batch(got, skip_special_tokens=True), [s.replace(MARK, " ") for s in part]
+            if back != own:
+                self.unlike.update((s, x) for s, x, y in zip(part, back, own, strict=True) if x != y)
+            self.young.update(zip(part, map(_pack, got), strict=True))
+
+    def _ensure(self, segments: set[str]) -> None:
+        """The younger generation gets all ``segments``: from the older one, or learned now."""
+        new = []
+        for s in segments.difference(self.young):
+            ids = self.old.get(s)
             if ids is None:
-                ids = old.get(s)
-                if ids is None:
-                    new.append(s)
-                    continue
-                young[s] = ids
+                new.append(s)
+            else:
+                self.young[s] = ids
                 self.held += len(s)
-            found[s] = ids
         if new:
             new.sort()  # neighbours share beginnings, which both libraries then find in the processor's cache
-            learned = self._learn(new)
-            found |= learned
-            for s, ids in learned.items():
-                if len(s) <= KEPT_CHARS:
-                    young[s] = ids
-                    self.held += len(s)
-        return found
+            self._learn(new)
+            self.long = [s for s in new if len(s) > KEPT_CHARS]
+            self.held += sum(map(len, new)) - sum(map(len, self.long))
 
     def _forget(self) -> None:
+        for s in self.long:
+            del self.young[s]
+        self.long = []
         if len(self.young) > self.kept or self.held > KEPT_TEXT:
             self.old, self.young, self.held = self.young, {}, 0
             self.differ = {s for s in self.differ if s in self.old}
@@ -274,12 +301,13 @@ class Codec:
                 continue
             whole = [self.normalise(t) if t else "" for t in part]
             split = [self.cut.findall(t) for t in whole]
-            known = self._ids_of(set().union(*split))
+            self._ensure(set().union(*split))
+            ids_of = self.young.__getitem__
             for text, segments in zip(whole, split, strict=True):
                 same = not self.differ or self.differ.isdisjoint(segments)
                 if self.unlike and not self.unlike.keys().isdisjoint(segments):
                     text = "".join([self.unlike.get(s, s) for s in segments])
-                yield np.frombuffer(b"".join([known[s] for s in segments]), "<i4"), same, self._unmark(text.replace(MARK, " "))
+                yield np.frombuffer(b"".join(map(ids_of, segments)), "<i4"), same, self._unmark(text.replace(MARK, " "))
             self._forget()
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
