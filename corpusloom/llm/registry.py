@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, knn, line_dedup, near_dup, quality, secret_scan, sentencepiece_codec, substring_dedup, toxicity, url_filters
+from corpusloom.llm import decontaminate, exact_dedup, knn, line_dedup, merkle, near_dup, prefix_trie, quality, secret_scan, sentencepiece_codec, substring_dedup, toxicity, url_filters
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,8 +15,14 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_suffix_dedup": substring_dedup.op9_suffix_dedup,
     "op10_near_dup": near_dup.op10_near_dup,
+    "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 ORACLE_SQL = {
     "op3_topk_search": knn.OP3_SQL,
     "op4_url_filters": url_filters.OP4_SQL,
+    "op11_exact_dedup": exact_dedup.OP11_SQL,
+    "op12_prefix_trie": prefix_trie.OP12_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
