@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
-from corpusloom.operators import filters, retrieval as V
+from corpusloom.operators import filters, retrieval as V, vector_index
 from corpusloom.plans.base import Registry
-from corpusloom.session import table
+from corpusloom.session import shared_dir, table
 
 Q = Registry()
 
@@ -55,6 +57,27 @@ def vector_topk(spark, sf):
     return _vectors(spark, sf, 40).withColumn("rank0", F.col("rank0").cast("long"))
 
 
+def _vector_index(spark, sf):
+    v = table(spark, sf, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
+    dim = v.agg(F.max(F.size("embedding"))).first()[0] or 0
+    made = vector_index.VectorIndex.build(v, f"{shared_dir(spark)}/vector-index-{uuid.uuid4().hex}", dim)
+    return made, v.filter("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), "embedding")
+
+
+@Q("with " + _VEC + " select query_id, chunk_id, score, rank0 from v where rank0 < 40")
+def match_exact(spark, sf):
+    """From the stored index, probed cells first and then all whose bound reaches the k-th score."""
+    made, asked = _vector_index(spark, sf)
+    return made.search(asked, 40, exact=True).withColumn("rank0", F.col("rank0").cast("long"))
+
+
+@Q()
+def match_cells(spark, sf):
+    """From the stored index, the probed cells alone; recall is tested against brute force."""
+    made, asked = _vector_index(spark, sf)
+    return made.search(asked, 40).withColumn("rank0", F.col("rank0").cast("long"))
+
+
 _ARMS = _BM25 + ", " + _VEC + ", arms as (select query_id, 'bm25' as arm, 0 as o, chunk_id, rank0 from b where rank0 < 40 union all select query_id // 20, 'documents', 1, chunk_id, rank0 from v where rank0 < 40)"
 
 
