@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.operators import filters, retrieval as V, vector_index
+from corpusloom.operators.bm25_index import Bm25Index
 from corpusloom.plans.base import Registry
 from corpusloom.session import shared_dir, table
 
@@ -31,7 +33,11 @@ def _queries(spark, sf):
 
 
 def _bm25(spark, sf, k):
-    return V.bm25_top_k(_docs(spark, sf), _queries(spark, sf), k)
+    """From an index of the application's own, brought up to date first."""
+    name = hashlib.sha256(sf.encode()).hexdigest()[:16]
+    index = Bm25Index(spark, f"{shared_dir(spark)}/bm25-{spark.sparkContext.applicationId}-{name}")
+    index.refresh(table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text", F.col("source").alias("collection_id")))
+    return index.search(_queries(spark, sf), k)
 
 
 def _vectors(spark, sf, k):

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.relational import last_wins, upsert
-from corpusloom.operators.retrieval import doc_lengths, postings
 from corpusloom.sources.readers import exists
 
 
@@ -53,6 +52,12 @@ def _files(spark: SparkSession, path: str):
     return at(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """A file or folder goes, if it is there."""
+    fs, at = _files(spark, path)
+    fs.delete(at(path), True)
+
+
 def write_upsert(source: DataFrame, path: str, keys: list[str], seq: str = "seq") -> None:
     """K4, K5: merge into a Parquet table; a run lost at any step leaves the old or the new table whole (``put_in_place``)."""
     spark = source.sparkSession
@@ -91,18 +96,3 @@ def write_report(metrics: DataFrame, path: str) -> None:
 def write_triplets(df: DataFrame, path: str) -> None:
     """K9."""
     df.select("query", "positive", "negative", "positive_chunk_id", "negative_chunk_id", "negative_score").write.mode("overwrite").json(path)
-
-
-def write_bm25_index(docs: DataFrame, path: str, collection: str = "collection_id") -> None:
-    """Postings, lengths and counts per collection."""
-    postings(docs).write.mode("overwrite").parquet(f"{path}/postings")
-    doc_lengths(docs).write.mode("overwrite").parquet(f"{path}/lengths")
-    docs.groupBy(collection).count().write.mode("overwrite").parquet(f"{path}/counts")
-
-
-def index_is_fresh(spark: SparkSession, docs: DataFrame, path: str, collection: str = "collection_id") -> bool:
-    """Whether the counts per collection are those of the index."""
-    if not exists(spark, f"{path}/counts"):
-        return False
-    now, then = docs.groupBy(collection).count(), spark.read.parquet(f"{path}/counts")
-    return now.exceptAll(then).isEmpty() and then.exceptAll(now).isEmpty()

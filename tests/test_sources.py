@@ -45,9 +45,6 @@ def test_sinks(spark, tmp_path):
     assert S.read_csv(spark, str(tmp_path / "c"), S.strings("chunk_id", "text")).count() == 3
     K.write_jsonl(a, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 3
-    docs = a.withColumn("collection_id", F.lit("c"))
-    K.write_bm25_index(docs, str(tmp_path / "i"))
-    assert K.index_is_fresh(spark, docs, str(tmp_path / "i")) and not K.index_is_fresh(spark, docs.limit(1), str(tmp_path / "i"))
 
 
 def test_incremental(spark, tmp_path):
