@@ -1,8 +1,7 @@
-"""Retrieval: BM25 statistics and top-k, vector top-k, rank fusion, near-duplicate removal, reranking (R, D3, M rows)."""
+"""Retrieval: BM25 statistics and top-k, vector top-k, rank fusion, reranking (R, M rows)."""
 
 from __future__ import annotations
 
-import difflib
 import functools
 from collections.abc import Callable, Iterator
 
@@ -96,22 +95,6 @@ def append_unseen(first: DataFrame, second: DataFrame, query_id: str = "query_id
     return one.withColumn("rank0", F.row_number().over(w) - 1).select(query_id, id_col, "rank0")
 
 
-def drop_near(ranked: DataFrame, query_id: str = "query_id", ratio: float = 0.95, chars: int = 500) -> DataFrame:
-    """In rank order a row goes if its first characters are near those of a kept row; lists are short by R8's cut."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[str] = []
-        keep = []
-        for text in pdf.sort_values("rank0")["text"].fillna("").str[:chars]:
-            ok = not any(difflib.SequenceMatcher(None, text, k).ratio() >= ratio for k in kept)
-            keep.append(ok)
-            if ok:
-                kept.append(text)
-        return pdf.sort_values("rank0")[keep]
-
-    return ranked.groupBy(query_id).applyInPandas(run, ranked.schema)
-
-
 def overlap_scorer(queries: pd.Series, texts: pd.Series) -> pd.Series:
     """A deterministic stand-in for a cross-encoder: shared distinct words over the query's, scaled to -6..6."""
     def one(q: str, t: str) -> float:

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
-from corpusloom.operators import filters, retrieval as V, vector_index
+from corpusloom.operators import filters, near_text, retrieval as V, vector_index
 from corpusloom.operators.bm25_index import Bm25Index
 from corpusloom.plans.base import Registry
 from corpusloom.session import shared_dir, table
@@ -142,7 +142,7 @@ def _candidates(spark, sf, k=20):
 def near_dup(spark, sf):
     """D3, J12."""
     ranked = _candidates(spark, sf).select("query_id", "chunk_id", "score", "rank0", "text")
-    return V.drop_near(ranked).select("query_id", "chunk_id", "score", "rank0")
+    return near_text.drop_near(ranked).select("query_id", "chunk_id", "score", "rank0")
 
 
 _WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda w: w <> ''))"

@@ -3,7 +3,7 @@
 import difflib
 
 from corpusloom.functions import folds
-from corpusloom.operators import caselaw, chunkers, retrieval
+from corpusloom.operators import caselaw, chunkers, near_text
 from corpusloom.sources import readers, sinks
 
 WORDS = " ".join(f"w{i}" for i in range(60))
@@ -48,7 +48,7 @@ def test_drop_near_against_plain(spark):
                 kept.append(head)
                 want.add((q, i))
     df = spark.createDataFrame(rows, "query_id long, chunk_id long, rank0 int, text string")
-    assert {(r.query_id, r.chunk_id) for r in retrieval.drop_near(df).collect()} == want
+    assert {(r.query_id, r.chunk_id) for r in near_text.drop_near(df).collect()} == want
 
 
 def test_rule_chunks(spark):
