@@ -71,10 +71,10 @@ def split_body(body: str, most: int = 800, soften: bool = False, size: Size = co
 
 #: Headings of an opinion's sections; fixed values.
 SECTION_PATTERNS = [
-    r"(?im)^[ \t]*(X{0,3}(?:IX|IV|VI{0,3}|V|I{1,3})|X{1,3})[ \t]*[.\-—][ \t]*(.{0,80})$",
-    r"(?im)^[ \t]*(BACKGROUND|FACTS|PROCEDURAL\s+HISTORY|PROCEDURAL\s+BACKGROUND|ANALYSIS|DISCUSSION|HOLDING|DISPOSITION|CONCLUSION|JURISDICTION|STANDARD\s+OF\s+REVIEW|APPLICABLE\s+LAW|RELEVANT\s+STATUTES?|PRELIMINARY\s+MATTERS?|PRIOR\s+PROCEEDINGS?|OPINION)[ \t]*$",
-    r"(?m)^[ \t]*([A-Z][A-Z ]{4,60})[ \t]*$",
-    r"(?m)^[ \t]*([A-Z]|\d+)[ \t]*[.\-—][ \t]*([A-Z][^.\n]{5,60})[ \t]*$",
+    r"(?im)^\s*(X{0,3}(?:IX|IV|VI{0,3}|V|I{1,3})|X{1,3})\s*[.\-—]\s*(.{0,80})$",
+    r"(?im)^\s*(BACKGROUND|FACTS|PROCEDURAL\s+HISTORY|PROCEDURAL\s+BACKGROUND|ANALYSIS|DISCUSSION|HOLDING|DISPOSITION|CONCLUSION|JURISDICTION|STANDARD\s+OF\s+REVIEW|APPLICABLE\s+LAW|RELEVANT\s+STATUTES?|PRELIMINARY\s+MATTERS?|PRIOR\s+PROCEEDINGS?|OPINION)\s*$",
+    r"(?m)^\s*([A-Z][A-Z\s]{4,60})\s*$",
+    r"(?m)^\s*([A-Z]|\d+)\s*[.\-—]\s*([A-Z][^.\n]{5,60})\s*$",
 ]
 
 

@@ -92,11 +92,17 @@ def cut_at_first(c: Column, markers: list[str]) -> Column:
     return F.rtrim(F.substring(c, F.lit(1), at - 1))
 
 
-def act_name(c: Column) -> Column:
-    """The act's name without numbering, nbsp and final period; else what it ``may be cited as``."""
-    plain = F.regexp_replace(F.replace(c, F.lit(" "), F.lit(" ")), r"^\s*\d+\s+ILCS\s+\d+/?\s*|\.\s*$", "")
-    cited = F.regexp_extract(c, r"may be cited as the ([^.]+)", 1)
-    return F.coalesce(blank_to_null(cited), blank_to_null(plain), F.lit(""))
+def clean_act_name(c: Column) -> Column:
+    """Without nbsp, leading citation and final periods, blanks collapsed."""
+    plain = F.trim(F.regexp_replace(F.replace(c, F.lit("\u00a0"), F.lit(" ")), r"^\d+\s+ILCS\s+[\w/]+\s*", ""))
+    return F.rtrim(strip_all(F.regexp_replace(plain, r"\s+", " ")), F.lit("."))
+
+
+def act_name(heading: Column, text: Column, fallback: Column) -> Column:
+    """The cleaned heading if it has over five characters, else what the text ``may be cited as``, else the fallback."""
+    own = clean_act_name(F.coalesce(heading, F.lit("")))
+    cited = clean_act_name(F.regexp_extract(F.coalesce(text, F.lit("")), r"(?i)may be cited as the\s+(.+?)(?:\.|Act\.|\n)", 1))
+    return F.when(F.length(own) > 5, own).when(cited != "", cited).otherwise(clean_act_name(F.coalesce(fallback, F.lit(""))))
 
 
 def word_tokens(c: Column) -> Column:

@@ -75,14 +75,24 @@ def not_repealed(heading: Column) -> Column:
     return ~F.coalesce(heading, F.lit("")).rlike(r"(?i)\(Repealed\)")
 
 
-def wanted_file(name: Column, skip: tuple[str, ...] = (r"minutes", r"agenda", r"meeting[-_ ]notice", r"transcript")) -> Column:
+#: File names of meeting logistics.
+SKIP_FILES = (r"meeting.agenda", r"meeting.minutes", r"agenda.final", r"minutes.final")
+#: Paths that hold no reference text; the last is the home page.
+SKIP_PATHS = (r"/locations", r"/careers", r"/news", r"/about", r"/contact", r"/search", r"^/$")
+
+
+def wanted_file(name: Column, skip: tuple[str, ...] = SKIP_FILES) -> Column:
     """F10."""
     return ~name.rlike("(?i)" + "|".join(skip))
 
 
-def wanted_url(url: Column, domain: str, skip: str = r"/(login|search|calendar|feed)(/|$)") -> Column:
-    """on the domain, not a PDF, not on a skipped path."""
-    return F.contains(F.regexp_extract(url, r"^[a-z]+://([^/?#]+)", 1), F.lit(domain)) & ~F.lower(url).rlike(r"\.pdf([?#]|$)") & ~url.rlike(skip)
+def wanted_url(url: Column, domain: str, skip: tuple[str, ...] = SKIP_PATHS) -> Column:
+    """on the domain, not a PDF, not on a skipped path; closing slashes don't count, no path is the home page."""
+    rest = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^?#]*)", 1)
+    path = F.regexp_extract(rest, r"^[^/]*(/.*)?$", 1)
+    at = F.regexp_replace(path, r"/+$", "")
+    at = F.when(at == "", "/").otherwise(at)
+    return F.contains(F.regexp_extract(rest, r"^[^/]*", 0), F.lit(domain)) & ~F.endswith(path, F.lit(".pdf")) & ~at.rlike("|".join(skip))
 
 
 def numeric_id(c: Column) -> Column:

@@ -73,7 +73,8 @@ def noise_filter(spark, sf):
     return df.select("doc_id", "tokens", filters.noise(F.col("text"), F.col("tokens")).alias("noise"), (F.col("tokens") >= 50).alias("large_enough"))
 
 
-@Q("""select page_id, contains(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), 'example.com') and not regexp_matches(lower(url), '\\.pdf([?#]|$)') and not regexp_matches(url, '/(login|search|calendar|feed)(/|$)') as wanted,
+@Q("""select page_id, contains(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1), 'example.com') and not ends_with(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '.pdf')
+ and not regexp_matches(coalesce(nullif(rtrim(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/'), ''), '/'), '/locations|/careers|/news|/about|/contact|/search|^/$') as wanted,
  case when regexp_matches(url, '/fr/') then 'french' when regexp_matches(url, '/(de|es)/') then 'other' when regexp_matches(url, 'blog') then 'blog' else 'english' end as category,
  substr(regexp_replace(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80) as slug from pages""")
 def url_rules(spark, sf):

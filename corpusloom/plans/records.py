@@ -103,7 +103,7 @@ def orphan_prefix(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.posexplode(out).alias("pos", "s")).select("doc_id", "pos", F.md5("s").alias("segment_md5"))
 
 
-@Q("""select page_id, not regexp_matches(url, '(?i)minutes|agenda|meeting[-_ ]notice|transcript') as file_ok, regexp_matches(cast(page_id as varchar), '^\\d+$') as id_ok, regexp_matches(url, '^\\d+$') as url_numeric,
+@Q("""select page_id, not regexp_matches(url, '(?i)meeting.agenda|meeting.minutes|agenda.final|minutes.final') as file_ok, regexp_matches(cast(page_id as varchar), '^\\d+$') as id_ok, regexp_matches(url, '^\\d+$') as url_numeric,
  not regexp_matches(coalesce(url, ''), '(?i)\\(Repealed\\)') as in_force, [' mental health ', 'FIELD OPERATIONS', 'budget'][page_id % 3 + 1] <> 'budget' as category_ok, ['ca7', 'ca8', ''][page_id % 3 + 1] = 'ca7' as court_ok from pages""")
 def name_filters(spark, sf):
     """F9, F10, F12, F17, F18."""

@@ -65,13 +65,21 @@ def test_small_functions(spark):
     assert one(X.collapse_wraps(F.lit("Section 1 Title\nstarts here\ngoes on\n\n(a) item\nmore"))) == "Section 1 Title starts here goes on\n\n(a) item more"
     assert one(X.trim_boilerplate(F.lit("junk\nAGENCY: X\nrest"))) == "AGENCY: X\nrest"
     assert one(X.cut_at_first(F.lit("body FOOT x END"), ["END", "FOOT"])) == "body"
-    assert one(X.act_name(F.lit("720 ILCS 5/ Criminal Code of 2012."))) == "Criminal Code of 2012"
-    assert one(X.act_name(F.lit("This may be cited as the Best Act. More"))) == "Best Act"
+    act = lambda *v: one(X.act_name(*[F.lit(x).cast("string") for x in v]))
+    cited = "Text. This may be cited as the Best\u00a0 Code. More"
+    assert act("720 ILCS 5/ Criminal\u00a0Code  of 2012.", cited, "x") == "Criminal Code of 2012"
+    assert act("Act.", cited, "x") == act(None, cited, None) == "Best Code"
+    assert act("", "none", "5 ILCS 70/ Fall back.") == "Fall back" and act(None, None, None) == ""
     assert one(X.bm25_tokens(F.lit("Été 5/3-1, x"))) == ["été", "5", "3", "1", "x", "5/3-1"]
     assert one(X.render_citations(F.lit("see Rule 401."))) == 'see <span class="cite">Rule 401</span>.'
     assert one(X.infer_source(F.lit(None).cast("string"), F.lit("4"), F.lit(None))) == "rules"
     assert one(filters.keep_rule_text(F.lit("Rule 5. Reserved."))) is False and one(filters.keep_rule_text(F.lit("means x"))) is True
-    assert one(filters.wanted_file(F.lit("Minutes-2020.pdf"))) is False and one(filters.not_repealed(F.lit("X (Repealed)"))) is False
+    files = {"Meeting-Agenda-May.pdf": False, "SPAC_meeting minutes.pdf": False, "AGENDA_FINAL.pdf": False, "minutes-final2.pdf": False, "Minutes-2020.pdf": True, "transcript.pdf": True, "agenda.pdf": True}
+    assert {n: one(filters.wanted_file(F.lit(n))) for n in files} == files
+    urls = {"/": False, "": False, "//": False, "/locations/x": False, "/our-careers": True, "/x/careers/": False, "/newsroom": False, "/about-us": False, "/contact": False, "/search?q=1": False, "/login": True, "/a/b.pdf": False, "/a/b.PDF": True, "/a.pdf?x": False, "/resources/": True, "?q=/about": False, "/resources?next=/about": True}
+    assert {p: one(filters.wanted_url(F.lit(f"https://www.defender.org{p}"), "defender.org")) for p in urls} == urls
+    assert not one(filters.wanted_url(F.lit("https://other.org/defender.org"), "defender.org"))
+    assert one(filters.not_repealed(F.lit("X (Repealed)"))) is False
     assert one(filters.numeric_id(F.lit("12"))) is True
     assert one(V.target_status(F.lit(0.6), 0.58, 0.73)) == "demo"
     with pytest.raises(Exception):
