@@ -10,7 +10,7 @@ from corpusloom.functions import text as X
 from corpusloom.operators import filters, records as P, relational as R, validate
 from corpusloom.plans.base import Registry
 from corpusloom.session import shared_dir, table
-from corpusloom.sources import readers, sinks
+from corpusloom.sources import byte_ranges, ordered, readers, sinks, versions
 
 Q = Registry()
 
@@ -217,3 +217,43 @@ def boilerplate_cuts(spark, sf):
     """T5, T8."""
     d = table(spark, sf, "documents").filter("text is not null and instr(text, 'e') > 0")
     return d.select("doc_id", X.trim_boilerplate(F.col("text"), "e").alias("text"), X.cut_at_first(F.col("text"), ["zz"]).alias("before_zz"))
+
+
+@Q("select event_id, ts, user_id, event_type, value from (select *, row_number() over (partition by user_id, event_type order by src desc, event_id desc) as rn from (select *, cast(event_id % 3 = 0 as int) as src from events)) where rn = 1")
+def bucket_upsert(spark, sf):
+    """K4, K5: a table in hash buckets takes in new rows; only their buckets are rewritten."""
+    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    rows = versions.BucketTable(spark, f"{shared_dir(spark)}/bucket-upsert-{uuid.uuid4().hex}", ["user_id", "event_type"], buckets=16)
+    rows.upsert(e.filter("event_id % 3 <> 0"), "event_id")
+    rows.upsert(e.filter("event_id % 3 = 0"), "event_id")
+    return rows.read()
+
+
+@Q("select doc_id, md5(text) as text_md5, doc_id % 3 as batch_id from documents")
+def resumable_append(spark, sf):
+    """K2: batches that overlap, one of them sent twice; each key is appended once, with the first batch that holds it."""
+    docs = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("text_md5"), F.lit(0).alias("seq"))
+    log = versions.AppendLog(spark, f"{shared_dir(spark)}/append-{uuid.uuid4().hex}", "doc_id")
+    for batch in (0, 1, 1, 2):
+        log.append(batch, docs.filter(F.col("doc_id") % 3 <= batch))
+    return log.read().select("doc_id", "text_md5", "batch_id")
+
+
+@Q("""select lang, min(doc_id) as first_id, max(doc_id) as last_id, min(seq) as first_seq, max(seq) as last_seq from (select doc_id, lang, row_number() over (order by doc_id) - 1 as seq from documents) group by lang""")
+def input_order(spark, sf):
+    """First and last wins by the place in JSON files that were written in order of the id."""
+    path = f"{shared_dir(spark)}/input-order-{uuid.uuid4().hex}"
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.json(path)
+    rows = ordered.read_ordered(spark, path, schema="doc_id long, lang string, text string").select("doc_id", "lang", "seq")
+    last = R.last_wins(rows, ["lang"]).select("lang", F.col("doc_id").alias("last_id"), F.col("seq").alias("last_seq"))
+    first = R.first_by(rows, ["lang"], F.col("seq").asc()).select("lang", F.col("doc_id").alias("first_id"), F.col("seq").alias("first_seq"))
+    return first.join(last, "lang").select("lang", "first_id", "last_id", "first_seq", "last_seq")
+
+
+@Q()
+def byte_range_sample(spark, sf):
+    """A sampling operator; records from five byte ranges of each of the files that hold the documents."""
+    path = f"{shared_dir(spark)}/byte-ranges-{uuid.uuid4().hex}"
+    table(spark, sf, "documents").select("doc_id", "lang", "text").write.json(path)
+    return byte_ranges.sample_records(spark, path, "doc_id long, lang string, text string", "doc_id", 5, 1 << 16).select("doc_id", "lang", F.length("text").alias("n_chars"))

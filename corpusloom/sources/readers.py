@@ -104,11 +104,6 @@ def manifest(df: DataFrame, column: str = "raw") -> DataFrame:
     return parsed.select(F.col("d")[0].alias("title"), F.col("d")[1].alias("path"), F.col("d")[2].alias("flag"), "category", "sub_category")
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int, key: str) -> DataFrame:
-    """S11."""
-    return df.sample(fraction=fraction, seed=seed).dropDuplicates([key])
-
-
 def table_text(df: DataFrame, text: str = "text") -> DataFrame:
     """One distributed scan of rows that have text."""
     return df.filter(F.col(text).isNotNull())
