@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.functions import folds, text as X
+from corpusloom.functions import bpe, folds, text as X
 from corpusloom.operators import chunkers, filters, relational as R, validate
 from corpusloom.plans.base import Registry
 from corpusloom.session import table
@@ -218,3 +218,14 @@ def token_stats(spark, sf):
     """A2, A3."""
     df = table(spark, sf, "documents").select("source", F.length("text").alias("n"))
     return df.groupBy("source").agg(F.avg("n").alias("avg_n"), F.min("n").alias("min_n"), F.max("n").alias("max_n"), F.count_if(F.col("n") >= 1000).alias("multi"), F.count_if(F.col("n") < 1000).alias("single"))
+
+
+#: A byte-level vocabulary as ranks.
+RANKS = "file:///opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@Q()
+def bpe_tokens(spark, sf, ranks: str = RANKS):
+    """Counted by merge ranks; tested against the library that made them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.token_counts(docs, bpe.read_ranks(spark, ranks), "doc_id")
