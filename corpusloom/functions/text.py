@@ -1,9 +1,11 @@
-"""Text expressions: cleaning, segmentation, extraction. Columns in, columns out; no Python at run time."""
+"""Text expressions: cleaning, segmentation, extraction. Columns in, columns out; no Python at run time but for pages' tags."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from corpusloom.functions.html import NOISE, html_text
+
 WORD_CLASS = r"[^\p{L}\p{N}_\s]"
 
 
@@ -73,16 +75,9 @@ def collapse_blank_lines(c: Column) -> Column:
     return strip_all(F.regexp_replace(F.replace(c, F.lit(" "), F.lit(" ")), r"\n{3,}", "\n\n"))
 
 
-def strip_html(c: Column, noise: tuple[str, ...] = ("script", "style", "nav", "header", "footer", "noscript")) -> Column:
-    """Noise elements go, block tags start a line, entities of common use are resolved, blank runs collapse."""
-    for tag in noise:
-        c = F.regexp_replace(c, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    c = F.regexp_replace(c, r"(?is)<!--.*?-->", "")
-    c = F.regexp_replace(c, r"(?i)<(p|br|div|h[1-6]|li|tr)\b[^>]*>", "\n")
-    c = F.regexp_replace(c, r"(?s)<[^>]+>", "")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return strip_all(F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\s*\n\s*\n\s*", "\n\n"))
+def strip_html(c: Column, noise: tuple[str, ...] = NOISE) -> Column:
+    """Noise elements go, block tags start a line, entities are resolved, blank runs collapse."""
+    return html_text(c, noise)
 
 
 def cut_at_first(c: Column, markers: list[str]) -> Column:
