@@ -177,7 +177,9 @@ def manifest(rows: DataFrame, group: str, key: str, digest: str, label: str = "m
     if not lower:
         return placed.select(*given, F.lit(None).cast(STEPS).alias("steps"), F.lit(None).cast("binary").alias("subroot")), None
     tops = stage_table(roots(lower), f"{label}-subroots")
-    upper = build(tops.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("i"), F.lit(tops.count()).cast("long").alias("n"), "digest"), f"{label}-top")
+    # written, as a constant known to the planner would make products of its joins
+    leaves = stage_table(tops.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("i"), F.lit(tops.count()).cast("long").alias("n"), "digest"), f"{label}-top-leaves")
+    upper = build(leaves, f"{label}-top")
     root = roots(upper).first()["digest"]
     end = tops.sparkSession.createDataFrame([(0, [])], f"g long, steps {STEPS}")
     above = prove(upper, end, f"{label}-top").select(F.col("i").alias("g"), "steps").join(tops, "g").withColumnRenamed("digest", "subroot")
