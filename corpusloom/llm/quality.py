@@ -333,10 +333,13 @@ def featurise(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, usable=None, max_train: int = MAX_TRAIN, max_join: int = MAX_JOIN, rounds: int = ROUNDS) -> Model:
-    known = labels.filter("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).dropDuplicates(["doc_id"])
+    known = labels.filter("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    # contradicting labels count as the lower one; of several rows of an id the greatest stands for it
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.filter(usable) if usable is not None else known
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    rows = docs.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    some = _input(docs).join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    rows = some.groupBy("doc_id").agg(F.max(F.struct("text", *COLUMNS)).alias("row")).select("doc_id", "row.*")
     found = featurise(rows).join(F.broadcast(known), "doc_id").orderBy("doc_id").toPandas()
     y = found["quality"].to_numpy(float)
     if len(set(y.tolist())) < 2:

@@ -1,6 +1,8 @@
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import functions as F
+
 from corpusloom.llm import quality as Q
 
 
@@ -48,3 +50,16 @@ def test_held_out_accuracy(spark):
     model = Q.train(docs, labels, "doc_id % 3 <> 1")
     got = Q.score_documents(docs, model).join(labels, "doc_id").filter("doc_id % 3 = 1").collect()
     assert np.mean([r.keep == bool(r.quality) for r in got]) > 0.93
+
+
+def test_contradicting_labels_and_repeated_ids_in_any_order(spark):
+    """The fit doesn't depend on which of the contradicting rows comes first."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    more = docs.filter("doc_id % 3 = 0").withColumn("text", F.concat(F.lit("other "), "text"))
+    both = labels.unionByName(labels.filter("doc_id % 4 = 0").withColumn("quality", 1 - F.col("quality")))
+    scores = []
+    for d, k in ((docs.unionByName(more), both), (more.unionByName(docs).repartition(7), both.orderBy(F.desc("doc_id")).repartition(3))):
+        model = Q.train(d, k, rounds=0)  # the labelled rows alone; rows of the pool with equal ids are told apart by their place
+        scores.append(sorted((r.doc_id, round(r.score, 9)) for r in Q.score_documents(docs, model).collect()))
+    assert scores[0] == scores[1]
