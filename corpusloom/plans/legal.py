@@ -36,8 +36,8 @@ def rule_chunks(spark, sf):
     return out.select("chunk_id", "metadata.content_type", "metadata.hierarchical_path", "display_citation", "metadata.subsection_id", "chunk_index", "chunk_total", F.sha2("enriched_text", 256).alias("digest"))
 
 
-_CASES = """op as (select doc_id as id, doc_id % 200 as cluster_id from documents where doc_id % 11 <> 0),
-cl as (select c_custkey as cluster_id, c_name as case_name, case when c_custkey % 4 = 0 then '' else '19' || lpad(cast(c_custkey % 100 as varchar), 2, '0') || '-01-02' end as date_filed, ['Published', 'Unpublished', 'Other'][c_custkey % 3 + 1] as status, c_nationkey as docket_id from customer where c_custkey < 150),
+_CASES = """op as (select doc_id as id, doc_id * 2 as cluster_id from documents),
+cl as (select c_custkey as cluster_id, c_name as case_name, case when c_custkey % 4 = 0 then '' else '19' || lpad(cast(c_custkey % 100 as varchar), 2, '0') || '-01-02' end as date_filed, ['Published', 'Unpublished', 'Other'][c_custkey % 3 + 1] as status, c_nationkey as docket_id from customer),
 dk as (select n_nationkey as docket_id, ['ill', 'illappct', 'ca7'][n_nationkey % 3 + 1] as court_id from nation)"""
 
 
@@ -46,7 +46,7 @@ def _cases(spark, sf):
     key = F.col("c_custkey")
     date = F.when(key % 4 == 0, "").otherwise(F.concat(F.lit("19"), F.lpad((key % 100).cast("string"), 2, "0"), F.lit("-01-02")))
     none = F.lit("").alias
-    clusters = table(spark, sf, "customer").filter("c_custkey < 150").select(
+    clusters = table(spark, sf, "customer").select(
         key.cast("string").alias("cluster_id"), F.col("c_name").alias("case_name"), F.concat(F.lit("s "), "c_name").alias("case_name_short"), date.alias("date_filed"), none("judges"),
         pick(key, ("Published", "Unpublished", "Other")).alias("precedential_status"), F.lit("7").alias("citation_count"), F.col("c_nationkey").cast("string").alias("docket_id"),
     )
@@ -55,7 +55,7 @@ def _cases(spark, sf):
     return clusters, dockets
 
 
-@Q(f"""with {_CASES}, p as (select conv_id * 100 + turn as id, cast((conv_id * 7 + turn) % 900 as bigint) as of_id, trim(text, ' ') as text, turn from conversations where trim(coalesce(text, ''), ' ') <> ''),
+@Q(f"""with {_CASES}, p as (select conv_id * 100 + turn as id, cast(conv_id * 13 + turn as bigint) as of_id, trim(text, ' ') as text, turn from conversations where trim(coalesce(text, ''), ' ') <> ''),
 j as (select p.*, coalesce(case_name, '') as case_name, coalesce(date_filed, '') as date_filed, coalesce(status, '') as status, coalesce(court_id, '') as court_id from p left join op on op.id = of_id left join cl using (cluster_id) left join dk using (docket_id)),
 k as (select *, case court_id when 'ill' then 'Illinois Supreme Court' when 'illappct' then 'Illinois Appellate Court' else court_id end as court_label from j),
 h as (select *, array_to_string(list_filter([case_name, date_filed, court_label], lambda x: x <> ''), ' | ') as header, case when case_name <> '' and date_filed <> '' then case_name || ' (' || date_filed[1:4] || ')' else case_name end as base from k)
@@ -64,8 +64,8 @@ select 'par_' || id as chunk_id, cast(of_id as varchar) as parent_id, court_labe
 def parenthetical_chunks(spark, sf):
     """T37, J2."""
     conv, turn = F.col("conv_id"), F.col("turn")
-    p = table(spark, sf, "conversations").select((conv * 100 + turn).alias("id"), "text", ((conv * 7 + turn) % 900).alias("describing_opinion_id"), conv.alias("described_opinion_id"), F.when(turn % 2 == 0, "none").otherwise(turn.cast("string")).alias("score"))
-    opinions = table(spark, sf, "documents").filter("doc_id % 11 <> 0").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 200).alias("cluster_id"))
+    p = table(spark, sf, "conversations").select((conv * 100 + turn).alias("id"), "text", (conv * 13 + turn).alias("describing_opinion_id"), conv.alias("described_opinion_id"), F.when(turn % 2 == 0, "none").otherwise(turn.cast("string")).alias("score"))
+    opinions = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") * 2).alias("cluster_id"))
     out = caselaw.parenthetical_chunks(p, opinions, *_cases(spark, sf))
     return out.select("chunk_id", "parent_id", "metadata.court_label", "metadata.precedential_weight", "metadata.score", "display_citation", F.sha2("enriched_text", 256).alias("digest"))
 
@@ -76,7 +76,7 @@ def caselaw_opinions(spark, sf):
     plain = F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("BACKGROUND\n"), F.col("text"), F.lit("\nANALYSIS\n"), F.col("text")))
     d = table(spark, sf, "documents")
     kind = F.element_at(F.array(F.lit("010combined"), F.lit("040dissent"), F.lit("other")), (F.col("doc_id") % 3 + 1).cast("int"))
-    opinions = d.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 200).alias("cluster_id"), kind.alias("type"), plain.alias("plain_text"), F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("html_with_citations"), F.lit("").alias("author_str"), F.lit("True").alias("per_curiam"))
+    opinions = d.select(F.col("doc_id").alias("id"), (F.col("doc_id") * 2).alias("cluster_id"), kind.alias("type"), plain.alias("plain_text"), F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("html_with_citations"), F.lit("").alias("author_str"), F.lit("True").alias("per_curiam"))
     out = caselaw.opinion_chunks(opinions, *_cases(spark, sf))
     return out.select("chunk_id", "parent_id", "chunk_index", "chunk_total", "token_count", "display_citation", "metadata.opinion_type", "metadata.is_majority", "metadata.section_index", "metadata.court_label", F.sha2("enriched_text", 256).alias("digest"))
 

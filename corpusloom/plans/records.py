@@ -212,10 +212,10 @@ def page_join(spark, sf):
     return readers.join_pages(d, "doc_id", markers=True).join(n, "doc_id")
 
 
-@Q("select doc_id, substr(text, strpos(text, 'e')) as text, case when strpos(text, 'zz') > 0 then rtrim(substr(text, 1, strpos(text, 'zz') - 1), ' ') else rtrim(text, ' ') end as before_zz from documents where text is not null and strpos(text, 'e') > 0")
+@Q("select doc_id, case when strpos(text, 'e') > 0 then substr(text, strpos(text, 'e')) else text end as text, case when strpos(text, 'zz') > 0 then rtrim(substr(text, 1, strpos(text, 'zz') - 1), ' ') else rtrim(text, ' ') end as before_zz from documents")
 def boilerplate_cuts(spark, sf):
     """T5, T8."""
-    d = table(spark, sf, "documents").filter("text is not null and instr(text, 'e') > 0")
+    d = table(spark, sf, "documents")
     return d.select("doc_id", X.trim_boilerplate(F.col("text"), "e").alias("text"), X.cut_at_first(F.col("text"), ["zz"]).alias("before_zz"))
 
 
