@@ -7,8 +7,8 @@ five letters up, two from ten) is determinised on demand: a word is read letter
 by letter and almost every word dies within its first few letters. Each hit is
 weighed by its window: a hit between quotation marks or near a reporting mark
 counts as quotation, another as abuse. A logistic model over the counts per
-document gives the score. Terms number ``MAX_TERMS`` at most and counts of hits
-are clipped at 3, which bounds the model. Everything is fitted on a bounded sample of labelled
+document gives the score. Every term with the support and the odds is kept; their
+number is bounded by the sample they come from. Counts of hits are clipped at 3. Everything is fitted on a bounded sample of labelled
 rows (``max_train``, by hash of the id); every text is scored whole.
 
 Defined results: a null or empty text has no hits and gets the score of a text
@@ -37,7 +37,7 @@ WORD = re.compile(r"[^\W\d_]+(?:[@$!0134][^\W\d_]+)*")
 LEET = str.maketrans("@$!0134", "asioiea")
 QUOTES = "\"“”„«»'‘’>"
 REPORTING = re.compile(r"(?:said|says|wrote|quote|quoted|called|term|word|zitat|sagte|dit|écrit|dijo|escribió)\W+$", re.I)
-MIN_SUPPORT, MIN_ODDS, MAX_TERMS = 6, 2.8, 400
+MIN_SUPPORT, MIN_ODDS = 6, 2.8
 PREFIX_LENGTHS = range(3, 9)
 WINDOW = 48
 N_FEATURES = 8
@@ -230,7 +230,7 @@ def choose_terms(counts: tuple[Counter, Counter], sizes: list[int]) -> dict[str,
         if not term.endswith("*") and any(term[:n] + "*" in kept for n in PREFIX_LENGTHS):
             continue
         kept[term] = odds[term]
-    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS])
+    return kept
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 60) -> np.ndarray:

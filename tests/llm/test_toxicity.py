@@ -61,10 +61,31 @@ def test_train_and_score(spark):
     assert T.score_documents(docs.limit(0), model).count() == 0
 
 
-def test_held_out_accuracy(spark):
+def test_contradicting_labels_and_texts(spark):
+    docs, labels = corpus(spark)
+    more = spark.createDataFrame([(i, 0, 0) for i in range(0, 240, 4)], labels.schema)
+    twice = docs.unionByName(spark.createDataFrame([(1, "zzz you idiot", "x")], docs.schema))
+    want = {r.doc_id: r.toxicity for r in T.score_documents(docs, T.train(docs, labels, ~T.held_out())).collect()}
+    for d, y in ((twice, labels.unionByName(more)), (twice.repartition(7, "text"), more.unionByName(labels))):
+        got = {r.doc_id: r.toxicity for r in T.score_documents(docs, T.train(d, y, ~T.held_out())).collect()}
+        assert got == want  # the toxic label of an id counts, and its least text
+
+
+def test_no_term_is_dropped():
+    n = 700
+    texts = [f"w{''.join(chr(97 + i // 26**k % 26) for k in range(3))}" for i in range(n)]
+    found = T.learn_terms([f"xx {' '.join(texts)}"] * 8 + ["xx fine"] * 40, np.array([1] * 8 + [0] * 40))
+    assert set(texts) <= set(found) or all(any(t.startswith(f[:-1]) for f in found if f.endswith("*")) for t in texts if t not in found)
+
+
+def test_held_out_recall(spark):
+    """Precision alone is easy where few are toxic: recall and the rank of toxic over clean texts are what is asserted."""
     from __spark_entry__ import queries
 
-    sf = "/root/testdata/sf0.01"
-    got = queries()["op6_toxicity"](spark, sf)
-    y = np.array([(r.toxic, r.predicted) for r in got.filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()])
-    assert (y[:, 0] == y[:, 1]).mean() > 0.95
+    sf = "/root/testdata/sf0.1"
+    got = queries()["op6_toxicity"](spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    y = np.array([(r.toxic, r.predicted, r.score) for r in got.collect()])
+    toxic, clean = y[y[:, 0] == 1], y[y[:, 0] == 0]
+    assert toxic[:, 1].mean() > 0.88 and clean[:, 1].mean() < 0.01
+    above = (toxic[:, 2][:, None] > clean[:, 2]).mean() + (toxic[:, 2][:, None] == clean[:, 2]).mean() / 2
+    assert above > 0.95
