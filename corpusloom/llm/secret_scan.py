@@ -8,7 +8,8 @@ a lone secret needs an access identifier or an endpoint near it, an endpoint
 needs an access identifier or an assignment near it. The interval join compares
 starts by bins as wide as the scope: each (document, bin) is reduced to the least
 and greatest start of each kind first, so that a document full of parts makes no
-pairs.
+pairs. Only rows whose text may have links meet them in a join; the rows of one
+text are dealt over ``SALTS`` keys there, as copies may be many.
 
 Defined results: a null text counts as empty (zero spans, digest of the empty
 string). Repeated rows each return a row. Whole texts are scanned, of any
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.llm.bitmap import maybe_in
 from corpusloom.session import stage_table
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -33,6 +35,8 @@ KINDS = (*BASE_KINDS, "lone", "endpoint")
 SCOPE = 400
 #: Matches whose places are summed in one run.
 CHUNK = 128
+#: Keys over which the copies of one linked text are dealt.
+SALTS = 16
 
 
 def spans(text: Column, kind: str, pattern: str, least: int = 0, group: int = 0) -> Column:
@@ -111,10 +115,14 @@ def secret_scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     some = scanned.filter(complementary).dropDuplicates(key)
     parts = some.select(*key, F.explode(F.concat("assign", "access", "lone", "endpoint")).alias("s")).select(*key, "s.*")
     added = linked(parts, key, scope)
-    added = added.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("added"))
+    added = stage_table(added.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("added")), "secret-links")
     rows = scanned.select("doc_id", *key, *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS], F.array_sort(F.concat(*BASE_KINDS)).alias("base"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return rows.join(added, key, "left").select("doc_id", *[f"n_{k}" for k in BASE_KINDS], "base", F.coalesce("added", empty).alias("added"))
+    hit = maybe_in(added, key)
+    some = hit.keep(rows).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    dealt = added.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    some = some.join(dealt, [*key, "salt"], "left").withColumn("added", F.coalesce("added", empty)).drop("salt")
+    return some.unionByName(hit.drop(rows).withColumn("added", empty)).select("doc_id", *[f"n_{k}" for k in BASE_KINDS], "base", "added")
 
 
 def op5_secret_scan(spark, sf_dir):

@@ -76,3 +76,9 @@ def test_added_spans_against_brute_force(spark):
         assert [tuple(s) for s in r.base] == base_spans(texts[r.doc_id])
         assert [(s.start, S.KINDS[s.kind], s.end) for s in r.added] == brute_added(texts[r.doc_id])
     assert sum(len(r.added) for r in rows) > 720
+
+
+def test_many_copies_of_a_linked_text_are_dealt_over_keys(spark):
+    docs = spark.createDataFrame([(i, TEXTS[5] if i % 3 else f"{i} plain") for i in range(600)], "doc_id long, text string")
+    got = {r.doc_id: [S.KINDS[s.kind] for s in r.added] for r in S.secret_scan(docs).collect()}
+    assert got == {i: ["lone", "endpoint"] if i % 3 else [] for i in range(600)}
