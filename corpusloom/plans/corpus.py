@@ -191,6 +191,38 @@ def pack_fold(spark, sf):
     return df.select("doc_id", F.size("p").alias("n"), F.sha2(F.array_join("p", "\x01"), 256).alias("digest"))
 
 
+@Q(r"""with t as (select doc_id, string_split(replace(replace(coalesce(text, ''), '. ', '.' || chr(10) || '(a) '), ', ', ',' || chr(10) || ' '), chr(10)) as raw from documents),
+l as (select doc_id, list_transform(raw, lambda x: trim(x, ' ')) as ls from t),
+j as (select doc_id, list_reduce(ls, lambda a, x: case when x = '' or a = '' or ends_with(a, chr(10)) or regexp_matches(x, '^\s*(\([a-z0-9]+\)|[a-z]\)|Section\s|AGENCY|SOURCE|\d+\.)') then a || chr(10) || x else a || ' ' || x end) as text from l)
+select doc_id, md5(text) as joined_md5, len(string_split(text, chr(10))) as n_lines from j""")
+def wrapped_lines(spark, sf):
+    """Lines broken at commas join again, sentences that open with a mark keep their lines."""
+    text = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit(". "), F.lit(".\n(a) ")), F.lit(", "), F.lit(",\n "))
+    joined = table(spark, sf, "documents").select("doc_id", X.collapse_wraps(text).alias("t"))
+    return joined.select("doc_id", F.md5("t").alias("joined_md5"), F.size(F.split("t", "\n")).cast("long").alias("n_lines"))
+
+
+@Q("""select doc_id, md5(trim(regexp_replace(replace(replace(replace(coalesce(text, ''), ', ', chr(10) || chr(10) || chr(10) || chr(10)), '. ', '.' || chr(160)), chr(160), ' '), chr(10) || '{3,}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) as text_md5 from documents""")
+def blank_lines(spark, sf):
+    """T6."""
+    text = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit(", "), F.lit("\n\n\n\n")), F.lit(". "), F.lit(".\u00a0"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(X.collapse_blank_lines(text)).alias("text_md5"))
+
+
+_SPAN = "coalesce(text, '') || ' see 720 ILCS 5/' || (doc_id % 40) || '-1.5, Rule ' || (doc_id % 900) || case when doc_id % 2 = 0 then 'A' else '' end || ' and [19' || lpad(cast(doc_id % 100 as varchar), 2, '0') || '] UKHL ' || doc_id"
+
+
+@Q(f"""select doc_id, md5(regexp_replace({_SPAN}, '(\\d+ ILCS \\d+/[\\d\\-.]+|Rule \\d+[A-Z]?|\\[\\d{{4}}\\] [A-Z]+ \\d+)', '<span class="cite">\\1</span>', 'g')) as html_md5 from documents""")
+def cited_spans(spark, sf):
+    """P21."""
+    n = F.col("doc_id")
+    text = F.concat(
+        F.coalesce("text", F.lit("")), F.lit(" see 720 ILCS 5/"), (n % 40).cast("string"), F.lit("-1.5, Rule "), (n % 900).cast("string"), F.when(n % 2 == 0, "A").otherwise(""),
+        F.lit(" and [19"), F.lpad((n % 100).cast("string"), 2, "0"), F.lit("] UKHL "), n.cast("string"),
+    )
+    return table(spark, sf, "documents").select("doc_id", F.md5(X.render_citations(text)).alias("html_md5"))
+
+
 @Q()
 def chunk_policy_reports(spark, sf):
     """T3, T4, T17, T19, T21, T30, T36, T38, D1, P6, P7."""
