@@ -104,8 +104,11 @@ def overlap_scorer(queries: pd.Series, texts: pd.Series) -> pd.Series:
     return pd.Series([one(q or "", t or "") for q, t in zip(queries, texts, strict=True)], dtype=float)
 
 
-def rerank(ranked: DataFrame, scorer: Callable[[pd.Series, pd.Series], pd.Series] = overlap_scorer, top_n: int = 6, threshold: float = -3.0, query_id: str = "query_id", id_col: str = "chunk_id") -> DataFrame:
-    """Every candidate scored; ``survived`` marks score and position, ``post_rank`` the order by score."""
+def rerank(ranked: DataFrame, scorer: Callable[[pd.Series, pd.Series], pd.Series] | Column = overlap_scorer, top_n: int = 6, threshold: float = -3.0, query_id: str = "query_id", id_col: str = "chunk_id") -> DataFrame:
+    """Every candidate scored; ``survived`` marks score and position, ``post_rank`` the order by score.
+
+    The scorer is a function of queries and texts, or a column.
+    """
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -113,7 +116,7 @@ def rerank(ranked: DataFrame, scorer: Callable[[pd.Series, pd.Series], pd.Series
             yield scorer(q, t)
 
     w = Window.partitionBy(query_id).orderBy(F.desc("ce_score"), F.asc("rank0"), F.asc(id_col))
-    out = ranked.withColumn("ce_score", score("query", "text")).withColumn("post_rank", F.row_number().over(w) - 1)
+    out = ranked.withColumn("ce_score", scorer if isinstance(scorer, Column) else score("query", "text")).withColumn("post_rank", F.row_number().over(w) - 1)
     return out.withColumn("survived", (F.col("ce_score") >= threshold) & (F.col("post_rank") < top_n))
 
 

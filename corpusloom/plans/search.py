@@ -8,10 +8,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
-from corpusloom.operators import filters, near_text, retrieval as V, vector_index
+from corpusloom.operators import filters, learned_rank, near_text, relational as R, retrieval as V, vector_index
 from corpusloom.operators.bm25_index import Bm25Index
 from corpusloom.plans.base import Registry
-from corpusloom.session import shared_dir, table
+from corpusloom.session import shared_dir, stage_table, table
 
 Q = Registry()
 
@@ -157,6 +157,16 @@ def audit_survival(spark, sf):
     return out.select("query_id", "chunk_id", F.col("rank0").cast("long").alias("rank0"), F.round("ce_score", 6).alias("ce_score"), F.col("post_rank").cast("long").alias("post_rank"), "survived")
 
 
+@Q()
+def learned_rerank(spark, sf):
+    """Feedback calls a candidate relevant where it holds the query's passage; the score learned from its triplets orders all candidates."""
+    ranked = stage_table(_candidates(spark, sf), "candidates")
+    label = F.when(F.contains(F.lower("text"), F.lower("query")), "RELEVANT").otherwise("IRRELEVANT")
+    triplets = R.training_triplets(ranked.select("query", "text", "chunk_id", label.alias("label"), F.col("score").alias("ce_score")))
+    out = learned_rank.learned_rerank(ranked, learned_rank.fit(triplets))
+    return out.select("query_id", "chunk_id", F.col("rank0").cast("long").alias("rank0"), F.round("ce_score", 4).alias("ce_score"), F.col("post_rank").cast("long").alias("post_rank"), "survived")
+
+
 @Q("""select doc_id, case when s is null then '' when s >= 2 then 'high' when s >= 0 then 'mid' else 'low' end as bucket, contains(text, split_part(cit, ' — ', 1)) as cited, '[' || cit || ']:' || chr(10) || 'x' as shown
 from (select doc_id, text, case when doc_id % 5 = 0 then null else cast(doc_id % 7 as double) - 3 end as s, substr(text, 1, 5) || ' — ' || source as cit from documents)""")
 def answer_rendering(spark, sf):
