@@ -15,6 +15,7 @@ NOISE = [
     r"(?mi)^\s*(?:ILLINOIS\s+)?SUPREME\s+COURT\s*$", r"v\.\s{2,}[\)|\|]", r"\bNos?\.\s+\d+[-\w]+", r"(?mi)^\s*NOTICE\s*$",
     r"(?i)Order filed|Decision filed", r"(?i)This order was filed under|Rule 23", r"(?m)^\s*_{5,}\s*$", r"(?m)^\s*Nos?\.\s+\d",
 ]
+#: Rule texts that hold nothing, and marks of those that do.
 RULE_SKIP = [r"^Rule\s+\d+\.?\s+Reserved\.?$", r"^\[\s*PAGE\s+\d+\s*\]$", r"^Amended\s+.*$", r"^Effective\s+.*$", r"^Adopted\s+.*$", r"^Committee Comments?$"]
 RULE_KEEP = [r"\([a-z0-9]\)", r"Rule\s+\d+", r"§\s+\d+", r"(?:shall|must|may)\s+", r"defined\s+as", r"means\s+", r"includes?\s+"]
 
