@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corpusloom.functions.text import bm25_tokens
 
 K1, B = 1.5, 0.75
 RRF_K = 60
+#: Queries of a block and rows of a shard, about; rows below which a shard isn't cut for more tasks.
+MAX_QUERIES, MAX_ROWS, LEAST_ROWS = 8192, 65_536, 256
+#: Queries and rows of one matrix product, and what rounding may change.
+STEP_QUERIES, STEP_ROWS, SLACK = 512, 2048, 2e-6
 #: Weights of the retrieval arms.
 WEIGHTS = {"ilcs": 1.5, "iscr": 1.5, "opinions": 0.8, "regulations": 1.0, "documents": 0.7, "bm25": 1.2}
 
@@ -64,17 +71,89 @@ def checked_vector(v: Column, dim: int) -> Column:
     return F.when(F.size(v) == dim, v).otherwise(F.raise_error(F.concat(F.lit(f"expected {dim} components, got "), F.size(v).cast("string"))))
 
 
-def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int = 40, id_col: str = "chunk_id", vec: str = "embedding", query_id: str = "query_id", max_queries: int = 10_000) -> DataFrame:
-    """Exact cosine top-k. The query side is sent to every task in blocks of about ``max_queries`` rows."""
-    n = max(1, -(-queries.count() // max_queries))
-    q = queries.select(query_id, F.col(vec).alias("_q"), F.sqrt(dot(F.col(vec), F.col(vec))).alias("_qn"))
-    v = vectors.select(id_col, F.col(vec).alias("_v"), F.sqrt(dot(F.col(vec), F.col(vec))).alias("_vn"))
-    sim = F.round(dot(F.col("_v"), F.col("_q")) / F.nullif(F.col("_vn") * F.col("_qn"), F.lit(0.0)), 6)
-    found = []
-    for b in range(n):  # all rows of a query_id share a block
-        block = q.filter(F.pmod(F.xxhash64(query_id), F.lit(n)) == b) if n > 1 else q
-        found.append(top_k(v.crossJoin(F.broadcast(block)).select(query_id, id_col, sim.alias("score")), k, query_id, id_col))
-    return functools.reduce(DataFrame.unionByName, found)
+def _wide(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Vectors of ``dim`` components as rows, null components as NaN."""
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+
+
+def _best(asks: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, row and rounded cosine of each query's k best rows, ties to the earlier row; -inf is a cosine of no value, inf one that isn't a number."""
+    none = np.zeros(0, np.int64)
+    at, to, best = none, none, np.zeros(0)
+    floor = np.full(len(asks), -np.inf)
+    with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+        asks_n, rows_n = np.sqrt((asks * asks).sum(1)), np.sqrt((rows * rows).sum(1))
+        for start in range(0, len(rows), STEP_ROWS):
+            sim = asks @ rows[start : start + STEP_ROWS].T
+            size = asks_n[:, None] * rows_n[start : start + STEP_ROWS]
+            sim = np.where(size == 0, -np.inf, np.divide(sim, size))
+            sim[np.isnan(sim)] = np.inf
+            if not start and sim.shape[1] > k:
+                floor = np.partition(sim, -k, axis=1)[:, -k] - SLACK
+            q, r = np.nonzero(sim >= floor[:, None])
+            at, to, best = np.concatenate([at, q]), np.concatenate([to, r + start]), np.concatenate([best, np.round(sim[q, r], 6)])
+            order = np.lexsort((to, -best, at))
+            at, to, best = at[order], to[order], best[order]
+            first = np.searchsorted(at, np.arange(len(asks)))
+            place = np.arange(len(at)) - first[at]
+            full = np.flatnonzero(np.bincount(at, minlength=len(asks)) >= k)
+            floor[full] = best[first[full] + k - 1] - SLACK
+            at, to, best = at[place < k], to[place < k], best[place < k]
+    return at, to, best
+
+
+def _cell_hits(k: int, names: tuple[str, str]):
+    """The k best rows of each query of a cell, one block of queries with one shard of the rows."""
+
+    def run(asks: pa.Table, rows: pa.Table) -> pa.Table:
+        # in the order of the ids, so that a place breaks ties
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("id", "ascending")], null_placement="at_start"))
+        ask_dim, row_dim = (pc.fill_null(pc.list_value_length(t["v"]), -1).to_numpy() for t in (asks, rows))
+        out = []
+        for dim in np.unique(ask_dim):
+            fits = np.flatnonzero(row_dim == dim) if dim > 0 else np.zeros(0, np.int64)
+            vectors = _wide(rows["v"].take(pa.array(fits)), dim) if len(fits) else None
+            # rows of another length have no cosine and come last
+            unfit = np.flatnonzero(row_dim != dim)[:k] if dim > 0 else np.arange(min(k, len(rows)))
+            mine = np.flatnonzero(ask_dim == dim)
+            for start in range(0, len(mine), STEP_QUERIES):
+                some = mine[start : start + STEP_QUERIES]
+                if len(fits):
+                    q, r, best = _best(_wide(asks["v"].take(pa.array(some)), dim), vectors, k)
+                    out.append((some[q], fits[r], best))
+                if len(unfit):
+                    out.append((np.repeat(some, len(unfit)), np.tile(unfit, len(some)), np.full(len(some) * len(unfit), -np.inf)))
+        q, r, best = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        score = pa.array(np.where(np.isposinf(best), np.nan, best), mask=np.isneginf(best))
+        return pa.table([asks["id"].take(pa.array(q)), rows["id"].take(pa.array(r)), score], names=[*names, "score"])
+
+    return run
+
+
+def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int = 40, id_col: str = "chunk_id", vec: str = "embedding", query_id: str = "query_id", max_queries: int = MAX_QUERIES, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Exact cosine top-k, of every query with every row.
+
+    Queries are dealt to blocks of about ``max_queries`` and rows to shards of
+    about ``max_rows``; a cell of both is one matrix product after another in one
+    task, that keeps k rows a query. Vectors of length zero, with null components
+    or of another length than the query's have no score and come last.
+    """
+    spark = vectors.sparkSession
+    n_asks, n_rows = queries.count(), vectors.count()
+    blocks = max(1, -(-n_asks // max_queries))
+    shards = max(1, -(-n_rows // max_rows), min(-(-spark.sparkContext.defaultParallelism // blocks), n_rows // LEAST_ROWS))
+    sound = lambda v: F.when(~F.exists(v, lambda x: x.isNull()), v)
+
+    def dealt(df: DataFrame, name: str, own: int, others: int, cell) -> DataFrame:
+        mine = F.pmod(F.xxhash64(name, vec), F.lit(own)).cast("int").alias("mine")
+        each = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("other")
+        return df.select(F.col(name).alias("id"), sound(F.col(vec)).alias("v"), mine).select("id", "v", "mine", each).select(cell(F.col("mine"), F.col("other")).alias("cell"), "id", "v").repartition(blocks * shards, "cell")
+
+    asks = dealt(queries, query_id, blocks, shards, lambda mine, other: mine * shards + other)
+    rows = dealt(vectors, id_col, shards, blocks, lambda mine, other: other * shards + mine)
+    kinds = StructType([StructField(query_id, queries.schema[query_id].dataType), StructField(id_col, vectors.schema[id_col].dataType), StructField("score", DoubleType())])
+    hits = asks.groupBy("cell").cogroup(rows.groupBy("cell")).applyInArrow(_cell_hits(k, (query_id, id_col)), kinds)
+    return top_k(hits, k, query_id, id_col)
 
 
 def fuse(arms: DataFrame, weights: dict[str, float], top_n: int = 40, query_id: str = "query_id", id_col: str = "chunk_id") -> DataFrame:
