@@ -1,7 +1,7 @@
 """A stored BM25 index: postings by (collection, shard, term) with what bounds their scores, and a search that skips blocks.
 
-Documents are dealt into shards of about ``SHARD_DOCS`` within a collection and a
-class of text length, so a frequent term is split over many blocks and the short
+Documents are dealt into shards of about ``SHARD_DOCS`` or ``SHARD_BYTES`` within a
+collection and a class of text length, so a frequent term is split over many blocks and the short
 documents, whose scores can be high, stand together. A block holds a shard's
 postings of one term (id, frequency, length) and their greatest frequency and
 least length. These bound every score in the block whatever the mean length of
@@ -10,7 +10,8 @@ the whole index is, so a collection can change without touching the others.
 A search adds up the bounds of a query's terms in each shard from the blocks'
 heads alone. The postings of a query's ``PILOTS`` most promising shards are
 scored first; of the other shards only those whose bound reaches the k-th score
-found are read. The result is that of scoring everything.
+found are read. The result is that of scoring everything. A document's postings
+are in one shard, so a shard adds up whole scores and tells the k best of a query.
 
 ``refresh`` compares each collection's rows and a checksum of ids and texts with
 those of the index and rebuilds only what changed. The counts lose a collection
@@ -19,13 +20,16 @@ leaves it stale, and the next refresh rebuilds it.
 
 Null texts are no documents; empty ones are, without postings. A null collection
 is one of its own. Rows without an id take no part. Repeated ids count as
-documents of their own and return one row, their scores added.
+documents of their own and return one row, their scores added; where rows of one
+id stand in several shards (``spread``), every score is told and added.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.text import bm25_tokens
@@ -34,8 +38,8 @@ from corpusloom.session import stage_table
 from corpusloom.sources.readers import exists
 from corpusloom.sources.sinks import delete, put_in_place, recover
 
-#: Documents of a shard, about; shards scored first; terms of the queries that may be broadcast.
-SHARD_DOCS, PILOTS, BROADCAST_TERMS = 16_384, 4, 200_000
+#: Documents and bytes of text of a shard, about; shards scored first; terms of the queries that may be broadcast.
+SHARD_DOCS, SHARD_BYTES, PILOTS, BROADCAST_TERMS = 16_384, 16 << 20, 4, 200_000
 #: A score is rounded to six digits; a bound reaches it from here.
 SLACK = 2e-6
 COUNTS = "part string, rows long, mark long, n_docs long, sum_dl long"
@@ -47,14 +51,58 @@ def part_of(collection: Column) -> Column:
     return F.concat(F.lit("c"), F.substring(F.sha2(F.when(text.isNull(), "-").otherwise(F.concat(F.lit("="), text)), 256), 1, 32))
 
 
+def length_class(text: Column) -> Column:
+    return F.floor(F.log2(F.octet_length(text) + 1)).cast("int")
+
+
 def saturation(tf: Column, dl: Column, avgdl: float) -> Column:
     return tf / (tf + K1 * (1 - B + B * dl / F.lit(avgdl)))
 
 
+def _best_of_shard(k: int, avgdl: float):
+    """The k best documents of each query in a shard: ``asks(query_id, term, w)`` met with the shard's blocks."""
+
+    def run(asks: pa.Table, blocks: pa.Table) -> pa.Table:
+        blocks = blocks.combine_chunks()
+        out = []
+        if len(blocks) and len(asks):
+            held = blocks.column("postings").chunk(0)
+            stop = np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False))
+            each = held.flatten()
+            tf, dl = (each.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("tf", "dl"))
+            part = tf / (tf + K1 * (1 - B + B * dl / avgdl))
+            ids, doc = np.unique(each.field("id").to_numpy(zero_copy_only=False), return_inverse=True)
+            at: dict[str, list[int]] = {}
+            for i, term in enumerate(blocks.column("term").to_pylist()):
+                at.setdefault(term, []).append(i)
+            asks = asks.sort_by("query_id")
+            names, query = np.unique(asks.column("query_id").to_numpy(), return_inverse=True)
+            cut = np.searchsorted(query, np.arange(len(names) + 1))
+            terms, w = asks.column("term").to_pylist(), asks.column("w").to_numpy()
+            for q, name in enumerate(names):
+                met = [(slice(stop[i - 1] if i else 0, stop[i]), w[j]) for j in range(cut[q], cut[q + 1]) for i in at.get(terms[j], ())]
+                if not met:
+                    continue
+                total = np.bincount(np.concatenate([doc[s] for s, _ in met]), np.concatenate([part[s] * x for s, x in met]), len(ids))
+                score = np.round(total, 6)
+                some = np.flatnonzero(score > 0)
+                if len(some) > k:
+                    some = some[score[some] >= np.partition(score[some], -k)[-k]]
+                some = some[np.lexsort((ids[some], -score[some]))[:k]]
+                out.append((np.full(len(some), name), ids[some], total[some], score[some]))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "chunk_id", "part_score", "score"])
+
+    return run
+
+
 @dataclass
 class Bm25Index:
     spark: SparkSession
     path: str
+    #: Rows that a shard tells of a query in a search; 0: all.
+    told: int = 0
 
     def counts(self) -> DataFrame:
         recover(self.spark, f"{self.path}/counts")
@@ -88,9 +136,18 @@ class Bm25Index:
         self._blocks(rows).write.mode("append").partitionBy("part").parquet(f"{self.path}/blocks")
         lengths = self.blocks().join(changed.select("part"), "part", "left_semi").groupBy("part").agg(F.sum("cf").alias("sum_dl"))
         new = changed.filter("there").join(lengths, "part", "left").select("part", "rows", "mark", "n_docs", F.coalesce("sum_dl", F.lit(0)).alias("sum_dl"))
+        self._put_spread(docs.filter(F.col(text).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), part_of(F.col(collection)).alias("part"), length_class(F.col(text)).alias("length")))
         self._put_counts(stage_table(kept.unionByName(new), "bm25-counts"))
         return len(names)
 
+    def _put_spread(self, places: DataFrame) -> None:
+        """Whether rows of one id stand in several shards."""
+        several = places.groupBy("id").agg(F.min(F.struct("part", "length")).alias("a"), F.max(F.struct("part", "length")).alias("b")).filter("a <> b")
+        several.agg((F.count("*") > 0).alias("spread")).write.mode("overwrite").parquet(f"{self.path}/spread")
+
+    def spread(self) -> bool:
+        return not exists(self.spark, f"{self.path}/spread") or self.spark.read.parquet(f"{self.path}/spread").first()[0]
+
     def _put_counts(self, counts: DataFrame) -> None:
         counts.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/counts.next")
         put_in_place(self.spark, f"{self.path}/counts.next", f"{self.path}/counts")
@@ -98,8 +155,9 @@ class Bm25Index:
     @staticmethod
     def _blocks(rows: DataFrame) -> DataFrame:
         """``part, shard, term, df, cf, max_tf, min_dl, postings`` of ``rows(part, id, text)``; texts are shuffled once."""
-        length = F.floor(F.log2(F.octet_length("text") + 1)).cast("int").alias("length")
-        sizes = stage_table(rows.groupBy("part", length).agg(F.ceil(F.count("*") / SHARD_DOCS).alias("shards")), "bm25-sizes")
+        length = length_class(F.col("text")).alias("length")
+        shards = F.greatest(F.ceil(F.count("*") / SHARD_DOCS), F.ceil(F.sum(F.octet_length("text")) / SHARD_BYTES)).alias("shards")
+        sizes = stage_table(rows.groupBy("part", length).agg(shards), "bm25-sizes")
         shard = (F.col("length") * F.lit(1 << 32) + F.pmod(F.xxhash64("id"), F.col("shards"))).alias("shard")
         dealt = rows.withColumn("length", length).join(sizes, ["part", "length"]).select("part", shard, "id", "text").repartition("part", "shard")
         tokens = dealt.select("part", "shard", "id", bm25_tokens(F.col("text")).alias("tokens"))
@@ -136,14 +194,23 @@ class Bm25Index:
         shards = asks.groupBy("query_id", "part", "shard").agg(F.sum("bound").alias("score"))
         pilots = stage_table(top_k(shards, PILOTS, id_col="shard").select("query_id", "part", "shard"), "bm25-pilots")
         at = ["query_id", "part", "shard"]
-        first = self._scored(asks.join(pilots, at, "left_semi"), blocks, avgdl, "first")
+        whole = not self.spread() and all(kind == "bigint" for kind in (dict(asks.dtypes)["query_id"], blocks.select(F.explode("postings").alias("x")).select("x.id").dtypes[0][1]))
+        by_shard = replace(self, told=k if whole else 0)
+        first = by_shard._scored(asks.join(pilots, at, "left_semi"), blocks, avgdl, "first")
         kth = top_k(first, k).groupBy("query_id").agg(F.min("score").alias("floor"), F.count("*").alias("found"))
         rest = shards.join(pilots, at, "left_anti").join(kth, "query_id", "left").filter(F.coalesce(F.col("found"), F.lit(0)).__lt__(k) | (F.col("score") + SLACK >= F.col("floor")))
-        later = self._scored(asks.join(rest.select(*at), at, "left_semi"), blocks, avgdl, "later")
+        later = by_shard._scored(asks.join(rest.select(*at), at, "left_semi"), blocks, avgdl, "later")
         return top_k(first.unionByName(later).groupBy("query_id", "chunk_id").agg(F.round(F.sum("part_score"), 6).alias("score")).filter("score > 0"), k).withColumnRenamed("query_id", query_id)
 
     def _scored(self, asks: DataFrame, blocks: DataFrame, avgdl: float, label: str) -> DataFrame:
-        """``query_id, chunk_id, part_score, score`` of all postings asked for; ``score`` rounded."""
+        """``query_id, chunk_id, part_score, score`` of all postings asked for, or of each shard and query the ``told`` best; ``score`` rounded."""
+        if self.told:
+            # postings are shuffled once, whatever the number of queries that ask for them
+            at = ["part", "shard"]
+            asks = stage_table(asks.select("query_id", *at, "term", "w"), f"bm25-asked-{label}")
+            some = blocks.join(F.broadcast(asks.select(*at).distinct()), at, "left_semi").select(*at, "term", "postings")
+            best = asks.groupBy(*at).cogroup(some.groupBy(*at)).applyInArrow(_best_of_shard(self.told, avgdl), "query_id long, chunk_id long, part_score double, score double")
+            return stage_table(best, f"bm25-{label}")
         met = asks.select("query_id", "part", "shard", "term", "w").join(blocks.select("part", "shard", "term", "postings"), ["part", "shard", "term"])
         each = met.select("query_id", "w", F.explode("postings").alias("x"))
         score = F.sum(F.col("w") * saturation(F.col("x.tf"), F.col("x.dl"), avgdl)).alias("part_score")

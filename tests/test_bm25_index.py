@@ -103,3 +103,26 @@ def test_a_lost_refresh_is_made_good(spark, tmp_path, monkeypatch, step):
     assert index.refresh(docs) == 1
     assert rows(index.search(questions(spark), 30)) == rows(V.bm25_top_k(docs, questions(spark), 30))
     sinks.delete(spark, f"{tmp_path}/nothing there")
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_a_shard_tells_the_best_alone(spark, tmp_path, monkeypatch, repeated):
+    """Unless rows of one id stand in several shards: then all hits are told and added."""
+    monkeypatch.setattr(I, "SHARD_BYTES", 2000)
+    data = corpus(400, 3) + ([(7, "the court w1 w2 w3", "b"), (7, "w3 " * 50, "a"), (9, "the", None)] if repeated else [])
+    docs = spark.createDataFrame(data, SCHEMA)
+    index = I.Bm25Index(spark, f"file://{tmp_path}/index")
+    index.refresh(docs)
+    assert index.spread() is repeated
+    assert index.blocks().select("part", "shard").distinct().count() > 20
+    told = {}
+    scored = I.Bm25Index._scored
+
+    def counted(self, asks, blocks, avgdl, label):
+        out = scored(self, asks, blocks, avgdl, label)
+        told[label] = out.count(), asks.select("query_id", "part", "shard").distinct().count()
+        return out
+
+    monkeypatch.setattr(I.Bm25Index, "_scored", counted)
+    assert rows(index.search(questions(spark), 3)) == rows(V.bm25_top_k(docs, questions(spark), 3))
+    assert repeated or all(n <= 3 * cells for n, cells in told.values())
