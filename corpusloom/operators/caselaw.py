@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions import folds, text as X
 from corpusloom.operators import filters
+from corpusloom.operators.chunkers import CUT_ROWS
 from corpusloom.operators.records import text_or_html
 from corpusloom.operators.relational import left_lookup
+from corpusloom.session import arrow_batches, stage_table
 
 #: Weight of a precedential status; any other has 0.3.
 STATUS_WEIGHT = {"Published": 1.0, "Unpublished": 0.5, "Errata": 0.1, "Separate": 0.4, "In-chambers": 0.3, "Relating-to": 0.2, "Unknown": 0.3}
@@ -89,7 +91,9 @@ def opinion_chunks(opinions: DataFrame, clusters: DataFrame, dockets: DataFrame,
         text_or_html(F.col("plain_text"), F.col("html_with_citations")).alias("_text"), blank("author_str").alias("author"), (F.lower(blank("per_curiam")) == "true").alias("per_curiam"),
     ).filter(F.trim("_text") != "")
     cut = folds.sections_over_column(opinion_pieces, ("heading", "body", "section", "tokens"))
-    parts = with_case(rows.withColumn("_p", cut("_text")).drop("_text"), clusters, dockets)
+    with arrow_batches(opinions.sparkSession, CUT_ROWS):
+        parts = stage_table(rows.withColumn("_p", cut("_text")).drop("_text"), "opinion-parts")
+    parts = with_case(parts, clusters, dockets)
     size = lambda p: p["tokens"].cast("int")
     parts = parts.withColumn("_p", F.filter("_p", lambda p: (size(p) >= min_tokens) & ~filters.noise(p["body"], size(p))))
     out = parts.select("*", F.size("_p").alias("chunk_total"), F.posexplode("_p").alias("chunk_index", "_c"))

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions import folds, text as X
 from corpusloom.operators.relational import keep_longest
+from corpusloom.session import arrow_batches, stage_table
+
+#: Texts of an Arrow batch that is cut.
+CUT_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -101,7 +105,8 @@ def chunk(entries: DataFrame, spec: ChunkSpec, seq: str | None = None) -> DataFr
 
     rows = keep_longest(entries, ["id"], "text", seq) if seq else entries
     cut = folds.sections_over_column(spec.pieces, ("heading", "body", "tokens"))
-    parts = rows.withColumn("_p", cut(spec.clean(F.coalesce("text", F.lit("")))))
+    with arrow_batches(entries.sparkSession, CUT_ROWS):
+        parts = stage_table(rows.withColumn("_p", cut(spec.clean(F.coalesce("text", F.lit(""))))).drop("text"), "chunk-parts")
     out = parts.select("*", F.size("_p").alias("chunk_total"), F.posexplode("_p").alias("chunk_index", "_c"))
     header = X.join_header(*[has(c) for c in spec.header])
     return out.select(
