@@ -8,6 +8,8 @@ Null texts give null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from corpusloom.functions.text import clean_heading, strip_all
@@ -17,6 +19,11 @@ RUN = 128
 SECTION = "struct<heading:string,body:string>"
 
 
+def made_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is worked out once for a row: a column within a lambda is worked out anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def sums_before(lengths: Column) -> Column:
     """For each element of an array of ints the sum of those before it."""
     runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / RUN).cast("int")), lambda k: F.slice(lengths, k * RUN + 1, RUN))
@@ -132,13 +139,18 @@ def code_sections(text: Column) -> Column:
 
 def subsections(text: Column) -> Column:
     """Cut at ``(a)`` marks at line starts whose line before ends a clause; the text as it is where there is none."""
-    pieces = F.split(text, r"\n(?=\([a-z]\))", -1)
 
     def ends(before: Column) -> Column:
         last = strip_all(F.element_at(F.split(F.regexp_replace(before, r"\s+\z", ""), "\n"), -1))
-        return (last == "") | last.rlike(r"[.!?:;]\z") | last.rlike(r"(?i) (or|and)\z")
+        return made_once(last, lambda x: (x == "") | x.rlike(r"[.!?:;]\z") | x.rlike(r"(?i) (or|and)\z"))
+
+    def joined(pieces: Column, starts: Column) -> Column:
+        cut = F.transform(starts, lambda s, j: F.array_join(F.slice(pieces, s + 1, F.coalesce(F.get(starts, j + 1), F.size(pieces)) - s), "\n"))
+        found = F.filter(F.transform(cut, strip_all), lambda x: x != "")
+        return made_once(found, lambda x: F.when((F.size(starts) == 1) | (F.size(x) == 0), F.array(text)).otherwise(x))
+
+    def cut_at_ends(pieces: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: (i == 0) | ends(F.get(pieces, i - 1)))
+        return made_once(starts, lambda found: joined(pieces, found))
 
-    starts = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: (i == 0) | ends(F.get(pieces, i - 1)))
-    cut = F.transform(starts, lambda s, j: F.array_join(F.slice(pieces, s + 1, F.coalesce(F.get(starts, j + 1), F.size(pieces)) - s), "\n"))
-    found = F.filter(F.transform(cut, strip_all), lambda x: x != "")
-    return F.when((F.size(starts) == 1) | (F.size(found) == 0), F.array(text)).otherwise(found)
+    return made_once(F.split(text, r"\n(?=\([a-z]\))", -1), cut_at_ends)
