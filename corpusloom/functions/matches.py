@@ -26,31 +26,43 @@ def made_once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def sums_before(lengths: Column) -> Column:
     """For each element of an array of ints the sum of those before it."""
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / RUN).cast("int")), lambda k: F.slice(lengths, k * RUN + 1, RUN))
     none = F.array().cast("array<int>")
 
     def step(acc: Column, x: Column) -> Column:
         return F.struct((acc["at"] + x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
 
-    within = F.transform(runs, lambda run: F.aggregate(run, F.struct(F.lit(0).alias("at"), none.alias("out")), step))
-    starts = F.aggregate(within, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, r: step(acc, r["at"]))["out"]
-    moved = F.flatten(F.zip_with(within, starts, lambda r, start: F.transform(r["out"], lambda x: x + start)))
-    return F.when(F.size(lengths) > 0, moved).otherwise(none)
+    def moved(within: Column) -> Column:
+        starts = F.aggregate(within, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, r: step(acc, r["at"]))["out"]
+        return F.flatten(F.zip_with(within, starts, lambda r, start: F.transform(r["out"], lambda x: x + start)))
+
+    def summed(n: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / RUN).cast("int")), lambda k: F.slice(n, k * RUN + 1, RUN))
+        within = F.transform(runs, lambda run: F.aggregate(run, F.struct(F.lit(0).alias("at"), none.alias("out")), step))
+        return F.when(F.size(n) > 0, made_once(within, moved)).otherwise(none)
+
+    return made_once(lengths, summed)
 
 
 def spans(text: Column, pattern: str) -> Column:
     """``array<struct<start, end, hit>>`` of every match, left to right."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    both = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda gap, hit: gap + F.length(hit))
-    ends = F.zip_with(sums_before(both), both, lambda before, own: before + own)
-    return F.zip_with(ends, hits, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")))
+
+    def placed(hits: Column) -> Column:
+        both = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda gap, hit: gap + F.length(hit))
+        ends = made_once(both, lambda n: F.zip_with(sums_before(n), n, lambda before, own: before + own))
+        return F.zip_with(ends, hits, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")))
+
+    return made_once(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def blocks(text: Column, openers: Column) -> Column:
     """The text from the start of each of the spans ``openers`` to the next one's, the last to the end."""
-    stop = lambda i: F.coalesce(F.get(openers, i + 1)["start"], F.length(text))
-    return F.transform(openers, lambda x, i: F.substr(text, x["start"] + 1, stop(i) - x["start"]))
+
+    def cut(found: Column) -> Column:
+        stop = lambda i: F.coalesce(F.get(found, i + 1)["start"], F.length(text))
+        return F.transform(found, lambda x, i: F.substr(text, x["start"] + 1, stop(i) - x["start"]))
+
+    return made_once(openers, cut)
 
 
 def sections(text: Column, pattern: str) -> Column:
@@ -115,7 +127,7 @@ def statute_sections(text: Column) -> Column:
         heading = F.rtrim(clean_heading(F.regexp_extract(block, HEADING, 1)), F.lit("."))
         return F.struct(F.concat(group(1), F.lit(" ILCS "), group(2)).alias("citation"), group(2).alias("section_num"), heading.alias("heading"), strip_all(block).alias("body"), block.rlike(r"(?i)\(Repealed\)").alias("repealed"))
 
-    return F.zip_with(openers, blocks(text, openers), record)
+    return made_once(openers, lambda found: F.zip_with(found, blocks(text, found), record))
 
 
 #: A section's head, and what ends the section before it.
