@@ -1,10 +1,10 @@
-"""Byte-pair token counts by a table of merge ranks, worked out once for each distinct word.
+"""Byte-pair token counts by a table of merge ranks, worked out once for each distinct word of a few texts.
 
 The table is text with a token (base64 of its bytes) and its rank on each line.
 A text is cut into words by a pattern in the JVM; a word's bytes are merged pair
-by pair, the pair of the least rank first. Counts go back to the texts in a join;
-words that over one in ``SHARE`` of all rows hold are broadcast, fewer than that
-by it, and so the most frequent words don't meet in one task.
+by pair, the pair of the least rank first. Texts are counted where they are read,
+``TEXTS`` at a time, and a task keeps the counts of ``KNOWN`` words at most, so no
+word is shuffled.
 """
 
 from __future__ import annotations
@@ -13,16 +13,22 @@ import base64
 import heapq
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from corpusloom.session import stage_table
+from corpusloom.session import arrow_batches, stage_table
 
 #: Fixed value: how a text is cut before bytes are merged.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of a table that may go to every task.
 MAX_RANKS = 1_000_000
-SHARE = 1000
+#: Texts of an Arrow batch.
+TEXTS = 64
+#: Words whose counts a task keeps, and characters of the longest of them.
+KNOWN, KNOWN_CHARS = 1 << 17, 64
 
 Ranks = dict[bytes, int]
 
@@ -77,17 +83,27 @@ def token_counts(texts: DataFrame, ranks: Ranks, key: str = "chunk_id", text: st
     shared = texts.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+
+        def size(word: str) -> int:
+            found = known.get(word)
+            if found is None:
+                found = count_pieces(word.encode(), shared.value)
+                if len(word) <= KNOWN_CHARS:
+                    if len(known) >= KNOWN:
+                        known.clear()
+                    known[word] = found
+            return found
+
         for batch in batches:
-            sizes = [count_pieces(w.encode(), shared.value) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("texts"), pa.array(sizes, pa.int64())], names=["word", "texts", "size"])
+            words = batch.column("words").flatten().dictionary_encode()
+            sizes = np.array([size(w) for w in words.dictionary.to_pylist()], np.int64)
+            before = np.concatenate([[0], np.cumsum(sizes[words.indices.to_numpy()])])
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch.column("words")), 0).to_numpy())])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.diff(before[ends]), pa.int64())], names=["key", "tokens"])
 
     words = F.regexp_extract_all(F.col(text), F.lit(f"(?U){pattern}"), F.lit(0))
-    held = texts.select(F.col(key).alias("key"), F.explode(words).alias("word")).groupBy("key", "word").agg(F.count("*").alias("times"))
-    held = stage_table(held, "bpe-words")
-    sizes = stage_table(held.groupBy("word").agg(F.count("*").alias("texts")).mapInArrow(run, "word string, texts long, size long"), "bpe-sizes")
-    total = sizes.agg(F.sum("texts")).first()[0] or 0
-    hot = sizes.filter(F.col("texts") * SHARE > total).select("word", "size")
-    rest = held.join(F.broadcast(hot.select("word")), "word", "left_anti").join(sizes.select("word", "size"), "word")
-    met = held.join(F.broadcast(hot), "word").unionByName(rest)
-    counts = met.groupBy("key").agg(F.sum(F.col("times") * F.col("size")).alias("tokens"))
-    return texts.select(F.col(key).alias("key")).join(counts, "key", "left").select(F.col("key").alias(key), F.coalesce("tokens", F.lit(0)).alias("tokens"))
+    kinds = StructType([StructField("key", texts.schema[key].dataType), StructField("tokens", LongType())])
+    with arrow_batches(texts.sparkSession, TEXTS):
+        counted = stage_table(texts.select(F.col(key).alias("key"), words.alias("words")).mapInArrow(run, kinds), "bpe-counts")
+    return counted.select(F.col("key").alias(key), "tokens")
