@@ -38,6 +38,8 @@ MAX_CELLS, MAX_SAMPLE = 4096, 65_536
 BLOCK_ROWS, BLOCK_QUERIES = 1024, 256
 #: Block pairs of an Arrow batch.
 PAIRS = 8
+#: Rows that meet all centroids at once.
+ROWS = 64
 #: Rows searched exactly to set the probes, and neighbours of each.
 TRIALS, TRIAL_K = 256, 10
 #: A score is rounded; a bound reaches it from here.
@@ -80,6 +82,13 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ROWS`` rows at a time: what is worked out for every row and cell stays small, however many cells there are."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 @dataclass
 class VectorIndex:
     """``blocks(cell, chunk, rows)`` at ``path``; per cell its centroid and the least cosine of its rows to it."""
@@ -101,8 +110,8 @@ class VectorIndex:
         centroids = fit_centroids(cls._sample(rows, n, min(MAX_SAMPLE, 64 * cells), dim), cells) if n else np.zeros((0, dim))
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                near = unit(_matrix(batch.column("v"), dim)) @ centroids.T if len(batch) else np.zeros((0, 1))
+            for batch in _slices(batches):
+                near = unit(_matrix(batch.column("v"), dim)) @ centroids.T
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(near.argmax(1).astype(np.int32)), pa.array(near.max(1))], names=["id", "v", "cell", "cosine"])
 
         placed = stage_table(rows.mapInArrow(assign, "id long, v array<float>, cell int, cosine double"), "vector-cells")
@@ -172,9 +181,7 @@ class VectorIndex:
         wide = np.arccos(np.clip(np.where(used, self.least, 1.0), -1, 1))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not len(batch):
-                    continue
+            for batch in _slices(batches):
                 near = np.where(used, unit(_matrix(batch.column("q"), centroids.shape[1])) @ centroids.T, -np.inf)
                 first = np.zeros(near.shape, bool)
                 np.put_along_axis(first, np.argsort(-near, axis=1, kind="stable")[:, :probes], True, 1)
